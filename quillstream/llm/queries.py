@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from quillstream.session import table
 
-from . import mixing, repeated_lines, splitting
+from . import mixing, repeated_lines, residue, splitting
 
 
 def p3_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -74,6 +74,14 @@ WITH sizes AS (SELECT source, sum(strlen(coalesce(text, ''))) AS n FROM document
 whole AS (SELECT sum(n) AS n FROM sizes)
 SELECT t.source FROM mix_targets t LEFT JOIN sizes s USING (source), whole WHERE t.max_repeats * coalesce(s.n, 0) < t.target_share * whole.n"""
 
+def p8_found(spark: SparkSession, folder: str) -> DataFrame:
+    return residue.find_residue(table(spark, folder, "documents")).select("doc_id").distinct()
+
+
+def p8_kept(spark: SparkSession, folder: str) -> DataFrame:
+    return residue.drop_residue(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p3_found": p3_found,
     "p3_cleaned": p3_cleaned,
@@ -81,5 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p5_pieces": p5_pieces,
     "p7_found": p7_found,
     "p7_report": p7_report,
+    "p8_found": p8_found,
+    "p8_kept": p8_kept,
 }
 SQL: dict[str, str] = {"p3_found": P3_FOUND_SQL, "p3_cleaned": P3_CLEANED_SQL, "p5_found": P5_FOUND_SQL, "p7_found": P7_FOUND_SQL}
