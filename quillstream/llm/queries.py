@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from quillstream.session import table
 
-from . import mixing, repeated_lines, residue, splitting
+from . import leakage, mixing, repeated_lines, residue, splitting
 
 
 def p3_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -82,6 +82,14 @@ def p8_kept(spark: SparkSession, folder: str) -> DataFrame:
     return residue.drop_residue(table(spark, folder, "documents"))
 
 
+def p6_found(spark: SparkSession, folder: str) -> DataFrame:
+    return leakage.leaked_passages(table(spark, folder, "documents"), table(spark, folder, "eval_items")).select("doc_id", "item_id").distinct()
+
+
+def p6_kept(spark: SparkSession, folder: str) -> DataFrame:
+    return leakage.drop_leaked(table(spark, folder, "documents"), table(spark, folder, "eval_items"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p3_found": p3_found,
     "p3_cleaned": p3_cleaned,
@@ -91,5 +99,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p7_report": p7_report,
     "p8_found": p8_found,
     "p8_kept": p8_kept,
+    "p6_found": p6_found,
+    "p6_kept": p6_kept,
 }
 SQL: dict[str, str] = {"p3_found": P3_FOUND_SQL, "p3_cleaned": P3_CLEANED_SQL, "p5_found": P5_FOUND_SQL, "p7_found": P7_FOUND_SQL}
