@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from quillstream.session import table
 
-from . import leakage, mixing, repeated_lines, residue, splitting
+from . import languages, leakage, mixing, repeated_lines, residue, splitting
 
 
 def p3_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -90,6 +90,15 @@ def p6_kept(spark: SparkSession, folder: str) -> DataFrame:
     return leakage.drop_leaked(table(spark, folder, "documents"), table(spark, folder, "eval_items"))
 
 
+def p2_found(spark: SparkSession, folder: str) -> DataFrame:
+    return languages.wrong_labels(table(spark, folder, "page_records")).select("page_id", "line_no", "lang").distinct()
+
+
+def p2_languages(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "page_records").select("page_id", "text", "language").distinct()
+    return languages.assign_languages(pages, languages.fit_on(pages))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p3_found": p3_found,
     "p3_cleaned": p3_cleaned,
@@ -101,5 +110,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p8_kept": p8_kept,
     "p6_found": p6_found,
     "p6_kept": p6_kept,
+    "p2_found": p2_found,
+    "p2_languages": p2_languages,
 }
 SQL: dict[str, str] = {"p3_found": P3_FOUND_SQL, "p3_cleaned": P3_CLEANED_SQL, "p5_found": P5_FOUND_SQL, "p7_found": P7_FOUND_SQL}
