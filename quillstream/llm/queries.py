@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from quillstream.session import table
 
-from . import languages, leakage, mixing, repeated_lines, residue, splitting
+from . import languages, leakage, mixing, repeated_lines, residue, scanned, splitting
 
 
 def p3_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -99,6 +99,14 @@ def p2_languages(spark: SparkSession, folder: str) -> DataFrame:
     return languages.assign_languages(pages, languages.fit_on(pages))
 
 
+def p4_found(spark: SparkSession, folder: str) -> DataFrame:
+    return scanned.scan_noise(table(spark, folder, "raw_text"))
+
+
+def p4_repaired(spark: SparkSession, folder: str) -> DataFrame:
+    return scanned.repair_scans(table(spark, folder, "raw_text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p3_found": p3_found,
     "p3_cleaned": p3_cleaned,
@@ -112,5 +120,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p6_kept": p6_kept,
     "p2_found": p2_found,
     "p2_languages": p2_languages,
+    "p4_found": p4_found,
+    "p4_repaired": p4_repaired,
 }
 SQL: dict[str, str] = {"p3_found": P3_FOUND_SQL, "p3_cleaned": P3_CLEANED_SQL, "p5_found": P5_FOUND_SQL, "p7_found": P7_FOUND_SQL}
