@@ -14,7 +14,7 @@ from quillstream.session import cut
 
 MARKER = re.compile(r"--- PAGE (\d+) ---\s*\Z")
 #: Lines looked at on each edge of a page, the likeness of running lines, and the most lines that a cover page has.
-EDGE, LIKE, COVER = 3, 0.75, 5
+EDGE, LIKE, COVER = 3, 0.8, 5
 HYPHENS = "-‐­¬"
 # What scanners read in place of what, as (seen, meant).
 CONFUSIONS = (
@@ -50,9 +50,9 @@ def _letters(line: str) -> str:
 
 
 def _running(line: str) -> bool:
-    """Whether a line can be a running one: short, and not the middle of a sentence."""
+    """Whether a line can be a running one: short, not the middle of a sentence and not a numbered heading."""
     first = next((c for c in line if c.isalpha()), "")
-    return len(line.strip()) <= 75 and not first.islower() and line.rstrip()[-1:] not in ",;"
+    return len(line.strip()) <= 75 and not first.islower() and line.rstrip()[-1:] not in ",;.।?" and not re.search(r", [a-z]|[a-z]{2}\. [A-Z]|^\s*\d+\. ", line)
 
 
 def _edge_key(line: str) -> str:
@@ -105,7 +105,7 @@ def layout(text: str, title: str = "") -> list[tuple[int, int, str, str]]:
             for n, key in own:
                 if kind.get(n) == "page_number":
                     continue
-                if len(key) < 4 or n not in able or not (len(heading) >= 8 and _like(key, heading)) and not any(_like(key, other) for p, rest in enumerate(keys) if p != place for m, other in rest if kind.get(m) != "page_number"):
+                if len(key) < 4 or n not in able or not (len(heading) >= 8 and _like(key, heading)) and sum(any(_like(key, other) for m, other in rest if kind.get(m) != "page_number") for p, rest in enumerate(keys) if p != place) < max(1, 0.34 * (len(body) - 1)):
                     kind.setdefault(n, "edge")
                     break
                 kind[n] = "header"
@@ -225,6 +225,8 @@ def scan_lines(df: DataFrame, file: str = "file", text: str = "text") -> DataFra
     rows = df.where(F.col(f"`{text}`").isNotNull()).select(F.col(f"`{file}`").alias("file"), F.col(f"`{text}`").alias("text")).distinct()
     lines = cut(rows.mapInArrow(_lines, "file string, line_no int, kind string, edge string, first string, second string, words array<string>"))
     known = lines.where("kind = 'header' and length(edge) >= 8").groupBy(F.col("edge").alias("known")).agg(F.count("*").alias("n"), F.min("file").alias("a"), F.max("file").alias("b")).where("n >= 4 and a <> b").select("known")
+    titles = rows.select(F.substring(F.regexp_replace(F.lower(F.regexp_replace("file", r"^[A-Z]+ \d+ ", "")), r"[^\p{L}]", ""), 1, 12).alias("known")).distinct()
+    known = known.join(titles, "known", "left_anti")  # a file's own title has been looked for in the file
     lone = lines.where("kind = 'body' and edge is not null").join(known, F.col("edge") == F.col("known"), "left_semi").select(F.col("file").alias("f"), F.col("line_no").alias("l"), F.lit(True).alias("lone"))
     lines = lines.join(lone, (F.col("file") == F.col("f")) & (F.col("line_no") == F.col("l")), "left")
     whole = F.col("lone").isNull()
