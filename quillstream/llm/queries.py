@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from quillstream.session import table
 
-from . import languages, leakage, mixing, repeated_lines, residue, scanned, splitting
+from . import boilerplate, languages, leakage, mixing, repeated_lines, residue, scanned, splitting
 
 
 def p3_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -107,6 +107,14 @@ def p4_repaired(spark: SparkSession, folder: str) -> DataFrame:
     return scanned.repair_scans(table(spark, folder, "raw_text"))
 
 
+def p1_found(spark: SparkSession, folder: str) -> DataFrame:
+    return boilerplate.furniture_lines(table(spark, folder, "web_texts"), table(spark, folder, "web_sources_manifest"))
+
+
+def p1_main_texts(spark: SparkSession, folder: str) -> DataFrame:
+    return boilerplate.main_texts(table(spark, folder, "web_texts"), table(spark, folder, "web_sources_manifest"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p3_found": p3_found,
     "p3_cleaned": p3_cleaned,
@@ -122,5 +130,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p2_languages": p2_languages,
     "p4_found": p4_found,
     "p4_repaired": p4_repaired,
+    "p1_found": p1_found,
+    "p1_main_texts": p1_main_texts,
 }
 SQL: dict[str, str] = {"p3_found": P3_FOUND_SQL, "p3_cleaned": P3_CLEANED_SQL, "p5_found": P5_FOUND_SQL, "p7_found": P7_FOUND_SQL}
