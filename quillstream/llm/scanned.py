@@ -220,17 +220,15 @@ def misread_words(words: DataFrame, often: int = 15, far: int = 300) -> DataFram
     return found.groupBy("word").agg(F.max(F.struct("m", "fix")).alias("b")).select("word", F.col("b.fix").alias("fix"))
 
 
-def scan_lines(df: DataFrame, file: str = "file", text: str = "text") -> DataFrame:
-    """The lines of all distinct files, read from text once and kept in the checkpoint folder. An outermost line that begins like the running lines of several files is one too."""
+def scan_lines(df: DataFrame, file: str = "file", text: str = "text") -> tuple[DataFrame, DataFrame]:
+    """The lines of all distinct files, read from text once and kept in the checkpoint folder, and (file, line_no) of those body lines
+    that are running lines after all: outermost ones that begin like the running lines of several files."""
     rows = df.where(F.col(f"`{text}`").isNotNull()).select(F.col(f"`{file}`").alias("file"), F.col(f"`{text}`").alias("text")).distinct()
     lines = cut(rows.mapInArrow(_lines, "file string, line_no int, kind string, edge string, first string, second string, words array<string>"))
     known = lines.where("kind = 'header' and length(edge) >= 8").groupBy(F.col("edge").alias("known")).agg(F.count("*").alias("n"), F.min("file").alias("a"), F.max("file").alias("b")).where("n >= 4 and a <> b").select("known")
     titles = rows.select(F.substring(F.regexp_replace(F.lower(F.regexp_replace("file", r"^[A-Z]+ \d+ ", "")), r"[^\p{L}]", ""), 1, 12).alias("known")).distinct()
     known = known.join(titles, "known", "left_anti")  # a file's own title has been looked for in the file
-    lone = lines.where("kind = 'body' and edge is not null").join(known, F.col("edge") == F.col("known"), "left_semi").select(F.col("file").alias("f"), F.col("line_no").alias("l"), F.lit(True).alias("lone"))
-    lines = lines.join(lone, (F.col("file") == F.col("f")) & (F.col("line_no") == F.col("l")), "left")
-    whole = F.col("lone").isNull()
-    return lines.select("file", "line_no", F.when(whole, F.col("kind")).otherwise("header").alias("kind"), *[F.when(whole, F.col(c)).alias(c) for c in ("first", "second", "words")])
+    return lines, lines.where("kind = 'body' and edge is not null").join(known, F.col("edge") == F.col("known"), "left_semi").select("file", "line_no")
 
 
 def _vocabulary(lines: DataFrame) -> DataFrame:
@@ -258,16 +256,17 @@ def scan_noise(df: DataFrame, file: str = "file", text: str = "text") -> DataFra
     Line numbers count every line, from 1. Equal rows count once; null and empty texts have no line; a file without page
     markers is one page, on which no line can repeat.
     """
-    lines = scan_lines(df, file, text)
+    lines, lone = scan_lines(df, file, text)
     vocabulary = cut(_vocabulary(lines))
     broken = _broken_words(lines, vocabulary)
     joined = broken.select("file", "line_no", F.concat("first", "second").alias("word"))
     bad = cut(misread_words(vocabulary.unionByName(joined.groupBy("word").agg(F.count("*").alias("n"))).groupBy("word").agg(F.sum("n").alias("n"))))
-    edge = lines.where("kind <> 'body'").select("file", "line_no", "kind")
+    edge = lines.where("kind <> 'body'").select("file", "line_no", "kind").unionByName(lone.withColumn("kind", F.lit("header")))
     words = lines.select("file", "line_no", F.explode("words").alias("word")).join(_common(vocabulary, bad), "word", "left_anti")
     misread = words.unionByName(_parts(joined, broken)).join(bad, "word", "left_semi").select("file", "line_no").distinct()
     hyphen = broken.select("file", "line_no", F.lit("hyphen").alias("kind"))
-    return edge.unionByName(hyphen).unionByName(misread.withColumn("kind", F.lit("misread"))).withColumnRenamed("file", file)
+    inner = hyphen.unionByName(misread.withColumn("kind", F.lit("misread"))).join(lone, ["file", "line_no"], "left_anti")
+    return edge.unionByName(inner).withColumnRenamed("file", file)
 
 
 def _parts(joined: DataFrame, broken: DataFrame) -> DataFrame:
@@ -332,12 +331,12 @@ def rebuild(text: str, gone: set[int], broken: set[int], fixes: dict[str, str])
 
 def repair_scans(df: DataFrame, file: str = "file", text: str = "text") -> DataFrame:
     """(file, text): each distinct file as continuous paragraphs. A misread word without a certain reading stays as it is; a null text stays null, an empty one empty."""
-    lines = scan_lines(df, file, text)
+    lines, lone = scan_lines(df, file, text)
     vocabulary = cut(_vocabulary(lines))
     broken = _broken_words(lines, vocabulary)
     joined = broken.select("file", F.concat("first", "second").alias("word"))
     bad = cut(misread_words(vocabulary.unionByName(joined.groupBy("word").agg(F.count("*").alias("n"))).groupBy("word").agg(F.sum("n").alias("n"))).where("fix is not null"))
-    gone = lines.where("kind <> 'body'").groupBy("file").agg(F.collect_set("line_no").alias("gone"))
+    gone = lines.where("kind <> 'body'").select("file", "line_no").unionByName(lone).groupBy("file").agg(F.collect_set("line_no").alias("gone"))
     ends = broken.groupBy("file").agg(F.collect_set("line_no").alias("broken"))
     words = lines.select("file", F.explode("words").alias("word")).join(_common(vocabulary, bad), "word", "left_anti").unionByName(joined)
     fixes = words.join(bad, "word").groupBy("file").agg(F.collect_set(F.struct("word", "fix")).alias("fixes"))
