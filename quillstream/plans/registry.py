@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from . import corpus_queries, vector_queries
 
-from pyspark.sql import DataFrame, SparkSession
-
-FLAGSHIP = ""
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
+FLAGSHIP = "vector_topk"
+QUERIES = {**corpus_queries.QUERIES, **vector_queries.QUERIES}
+SQL = {**corpus_queries.SQL, **vector_queries.SQL}
