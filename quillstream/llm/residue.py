@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quillstream.session import cut
+
 # The ways in which template languages mark a variable, as patterns with the variable's name in group 1.
 _NAME = r"[^\W\d_][\w.]*(?: [\w.]+){0,2}"
 STYLES = {
@@ -74,22 +76,25 @@ def open_slots(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     return marks.join(names, "name", "left_semi").join(own, ["before", "after"], "left_anti").select(F.col("id").alias(key), "style", "name", "before", "after")
 
 
-def _skeleton(line):
-    """Lower case, one blank for any white space, one # for a number, an amount or a date with or without a month's name."""
-    plain = F.regexp_replace(F.regexp_replace(F.lower(line), r"[\s\p{Z}]+", " "), r"\p{N}+", "#")
-    return F.trim(F.regexp_replace(plain, r"#(?:[ /.,-]{1,2}(?:\p{L}+ )?#)+", "#"))
+def _skeletons(text):
+    """A text's lines in lower case, with one blank for any white space and one # for a number, an amount or a date with or without a month's name."""
+    plain = F.regexp_replace(F.regexp_replace(F.lower(text), r"[\s\p{Z}&&[^\n]]+", " "), r"\p{N}+", "#")
+    return F.split(F.trim(F.regexp_replace(plain, r"#(?:[ /.,-]{1,2}(?:\p{L}+ )?#)+", "#")), r" ?\n[ \n]*")
 
 
 def _filler(skeleton):
     """Lines of nothing but Latin filler, or of one or two words over and over."""
-    words = F.split(F.trim(F.regexp_replace(skeleton, r"[^\p{L}\p{M}]+", " ")), " ")
-    latin = F.size(F.filter(words, lambda w: w.isin(*sorted(FILLER_WORDS))))
-    return ((F.size(words) >= 4) & (latin >= 0.8 * F.size(words))) | ((F.size(words) >= 6) & (F.size(F.array_distinct(words)) <= 2))
+
+    def judge(words):
+        latin = F.size(F.filter(words, lambda w: w.isin(*sorted(FILLER_WORDS))))
+        return ((F.size(words) >= 4) & (latin >= 0.8 * F.size(words))) | ((F.size(words) >= 6) & (F.size(F.array_distinct(words)) <= 2))
+
+    return F.transform(F.array(F.split(F.trim(F.regexp_replace(skeleton, r"[^\p{L}\p{M}]+", " ")), " ")), judge)[0]
 
 
 def _lines(df: DataFrame, key: str, text: str) -> DataFrame:
     """(id, chars, name, heading-like, menu, filler): each distinct line of each document, with digits masked."""
-    body = df.where(F.col(f"`{text}`").isNotNull()).select(F.col(f"`{key}`").alias("id"), F.xxhash64(f"`{text}`").alias("copy"), F.length(f"`{text}`").alias("chars"), F.explode(F.array_distinct(F.filter(F.transform(F.split(f"`{text}`", "\n"), _skeleton), lambda s: s != ""))).alias("s"))
+    body = df.where(F.col(f"`{text}`").isNotNull()).select(F.col(f"`{key}`").alias("id"), F.xxhash64(f"`{text}`").alias("copy"), F.length(f"`{text}`").alias("chars"), F.explode_outer(F.array_distinct(_skeletons(F.col(f"`{text}`")))).alias("s")).where("s <> ''")
     items = F.size(F.split("s", r" ?\| ?"))
     head = (F.length("s") <= 60) & ~F.col("s").rlike(r"[.!?।:;]$")
     return body.select("id", "copy", "chars", F.xxhash64("s").alias("name"), head.alias("head"), ((items >= 4) & (F.length("s") <= 25 * items)).alias("menu"), _filler(F.col("s")).alias("filler"))
@@ -103,16 +108,21 @@ def page_templates(df: DataFrame, key: str = "doc_id", text: str = "text", short
     that happens to recur stands in documents of all lengths. A text that comes under fewer than `copies`
     keys counts once, as it is a document and its copies; one that comes oftener is a page of its own kind and counts each time. Kind `heading` has other repeated short lines without a full stop.
     """
-    texts = _lines(df, key, text).where("not filler").groupBy("name", "copy").agg(F.max("chars").alias("chars"), F.max("head").alias("head"), F.count("*").alias("copies"))
+    return _templates(_lines(df, key, text), short, share, copies)
+
+
+def _templates(lines: DataFrame, short: int, share: float, copies: int) -> DataFrame:
+    texts = lines.where("not filler").groupBy("name", "copy").agg(F.max("chars").alias("chars"), F.max("head").alias("head"), F.count("*").alias("copies"))
     often = F.when(F.col("copies") >= copies, F.col("copies")).otherwise(1)
     seen = texts.groupBy("name").agg(F.sum(often).alias("documents"), F.sum(F.when(F.col("chars") <= short, often).otherwise(0)).alias("tiny"), F.max("head").alias("head"))
     kind = F.when(F.col("tiny") - 2 >= share * F.col("documents"), "page").when(F.col("head"), "heading")
     return seen.where("documents >= 3").select("name", kind.alias("kind"), "documents").where("kind is not null")
 
 
-def empty_pages(df: DataFrame, key: str = "doc_id", text: str = "text", short: int = 400, share: float = 0.3) -> DataFrame:
+def empty_pages(df: DataFrame, key: str = "doc_id", text: str = "text", short: int = 400, share: float = 0.3, copies: int = 6) -> DataFrame:
     """(key) of the documents of which every line is a page template, filler, a heading or a menu, and at least one is not of the latter two."""
-    lines = _lines(df, key, text).join(page_templates(df, key, text, short, share), "name", "left")
+    lines = cut(_lines(df, key, text))  # a few numbers a line, read twice
+    lines = lines.join(_templates(lines, short, share, copies), "name", "left")
     bad = F.col("filler") | F.coalesce(F.col("kind") == "page", F.lit(False))
     fine = bad | F.col("menu") | F.coalesce(F.col("kind") == "heading", F.lit(False))
     return lines.groupBy("id").agg(F.bool_and(fine).alias("all"), F.bool_or(bad).alias("any")).where("all and any").select(F.col("id").alias(key))
