@@ -67,6 +67,7 @@ def open_slots(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     kind = df.schema[key].dataType.simpleString()
     rows = df.select(F.col(f"`{key}`").alias("id"), F.xxhash64(f"`{text}`").alias("copy"), F.col(f"`{text}`").alias("text")).where(F.col("text").rlike(_HINT))
     marks = rows.mapInArrow(_markers, f"id {kind}, copy long, style string, name string, before string, after string, variable boolean").distinct()
+    marks = cut(marks)  # the marked places only, read three times
     names = marks.groupBy("name").agg((F.max(F.col("variable").cast("int")) + F.when(F.min("style") != F.max("style"), 1).otherwise(0)).alias("signs")).where("signs > 0")
     place = marks.groupBy("before", "after").agg(
         F.when(F.min("copy") != F.max("copy"), F.lit(True)).otherwise(F.lit(False)).alias("many"),
@@ -94,7 +95,8 @@ def _filler(skeleton):
 
 def _lines(df: DataFrame, key: str, text: str) -> DataFrame:
     """(id, chars, name, heading-like, menu, filler): each distinct line of each document, with digits masked."""
-    body = df.where(F.col(f"`{text}`").isNotNull()).select(F.col(f"`{key}`").alias("id"), F.xxhash64(f"`{text}`").alias("copy"), F.length(f"`{text}`").alias("chars"), F.explode_outer(F.array_distinct(_skeletons(F.col(f"`{text}`")))).alias("s")).where("s <> ''")
+    body = df.where(F.col(f"`{text}`").isNotNull()).select(F.col(f"`{key}`").alias("id"), F.xxhash64(f"`{text}`").alias("copy"), F.length(f"`{text}`").alias("chars"), F.array_distinct(_skeletons(F.col(f"`{text}`"))).alias("all"))
+    body = body.select("id", "copy", "chars", F.explode_outer("all").alias("s")).where("s <> ''")
     items = F.size(F.split("s", r" ?\| ?"))
     head = (F.length("s") <= 60) & ~F.col("s").rlike(r"[.!?।:;]$")
     return body.select("id", "copy", "chars", F.xxhash64("s").alias("name"), head.alias("head"), ((items >= 4) & (F.length("s") <= 25 * items)).alias("menu"), _filler(F.col("s")).alias("filler"))
