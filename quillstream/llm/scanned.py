@@ -126,7 +126,8 @@ def _bare_word(token: str) -> str:
 
 
 def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (file, line_no, kind, edge, first, second, words): the kind of a line, its key if it is a running line or outermost, the two parts where it ends in a broken word, and its whole words."""
+    """Rows (file, line_no, kind, edge, first, second, follows, words): the kind of a line, its key if it is a running line or outermost,
+    the two parts where it ends in a broken word and the line of the second one, and its whole words."""
     for batch in batches:
         rows = []
         for k, (text, name) in enumerate(zip(batch.column("text").to_pylist(), batch.column("file").to_pylist(), strict=True)):
@@ -135,7 +136,7 @@ def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if kind in ("body", "edge"):
                     body.append((n, x.replace("\xa0", " "), _edge_key(x) if kind == "edge" else None))
                 elif kind != "cover":
-                    rows.append((k, n, kind, _edge_key(x), None, None, []))
+                    rows.append((k, n, kind, _edge_key(x), None, None, None, []))
             carried = False
             for i, (n, x, edge) in enumerate(body):
                 tokens = x.split()
@@ -146,11 +147,11 @@ def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         first, second = tokens[-1][:-1].lstrip(_EDGE_MARKS).lower(), follow[0].rstrip(_EDGE_MARKS).lower()
                 whole = tokens[1 if carried else 0 : len(tokens) - (first is not None)]
                 carried = first is not None
-                rows.append((k, n, "body", edge, first, second, [w.strip(_EDGE_MARKS) for w in whole]))
-        cols = list(zip(*rows, strict=True)) or [()] * 7
+                rows.append((k, n, "body", edge, first, second, body[i + 1][0] if carried else None, [w.strip(_EDGE_MARKS) for w in whole]))
+        cols = list(zip(*rows, strict=True)) or [()] * 8
         yield pa.RecordBatch.from_arrays(
-            [batch.column("file").take(pa.array(cols[0], pa.int64())), pa.array(cols[1], pa.int32()), *(pa.array(c, pa.string()) for c in cols[2:6]), pa.array(cols[6], pa.list_(pa.string()))],
-            names=["file", "line_no", "kind", "edge", "first", "second", "words"],
+            [batch.column("file").take(pa.array(cols[0], pa.int64())), pa.array(cols[1], pa.int32()), *(pa.array(c, pa.string()) for c in cols[2:6]), pa.array(cols[6], pa.int32()), pa.array(cols[7], pa.list_(pa.string()))],
+            names=["file", "line_no", "kind", "edge", "first", "second", "follows", "words"],
         )
 
 
@@ -216,15 +217,16 @@ def misread_words(words: DataFrame, often: int = 15, far: int = 300) -> DataFram
     best = wild.groupBy("fix").agg(F.max(F.struct("n", F.lower("word").alias("w"))).alias("b"))
     near = wild.join(best, "fix").where(F.col("b.n") >= far * F.col("n")).select("word", F.col("b.w").alias("fix"), F.col("b.n").alias("m"))
     broken = maybe.where("kind = 'broken'").select("word", F.lit(None).cast("string").alias("fix"), F.lit(0).cast("long").alias("m"))
-    found = fixed.unionByName(numbers).unionByName(near).unionByName(broken)
-    return found.groupBy("word").agg(F.max(F.struct("m", "fix")).alias("b")).select("word", F.col("b.fix").alias("fix"))
+    known = fixed.unionByName(numbers).withColumn("rank", F.lit(2))  # a known confusion before any other letter
+    found = known.unionByName(near.withColumn("rank", F.lit(1))).unionByName(broken.withColumn("rank", F.lit(0)))
+    return found.groupBy("word").agg(F.max(F.struct("rank", "m", "fix")).alias("b")).select("word", F.col("b.fix").alias("fix"))
 
 
 def scan_lines(df: DataFrame, file: str = "file", text: str = "text") -> tuple[DataFrame, DataFrame]:
     """The lines of all distinct files, read from text once and kept in the checkpoint folder, and (file, line_no) of those body lines
     that are running lines after all: outermost ones that begin like the running lines of several files."""
     rows = df.where(F.col(f"`{text}`").isNotNull()).select(F.col(f"`{file}`").alias("file"), F.col(f"`{text}`").alias("text")).distinct()
-    lines = cut(rows.mapInArrow(_lines, "file string, line_no int, kind string, edge string, first string, second string, words array<string>"))
+    lines = cut(rows.mapInArrow(_lines, "file string, line_no int, kind string, edge string, first string, second string, follows int, words array<string>"))
     known = lines.where("kind = 'header' and length(edge) >= 8").groupBy(F.col("edge").alias("known")).agg(F.count("*").alias("n"), F.min("file").alias("a"), F.max("file").alias("b")).where("n >= 4 and a <> b").select("known")
     titles = rows.select(F.substring(F.regexp_replace(F.lower(F.regexp_replace("file", r"^[A-Z]+ \d+ ", "")), r"[^\p{L}]", ""), 1, 12).alias("known")).distinct()
     known = known.join(titles, "known", "left_anti")  # a file's own title has been looked for in the file
@@ -236,8 +238,8 @@ def _vocabulary(lines: DataFrame) -> DataFrame:
 
 
 def _broken_words(lines: DataFrame, vocabulary: DataFrame) -> DataFrame:
-    """(file, line_no, first, second) of lines that end in the first part of a word written without a hyphen: the corpus has the joined word at least as often as the compound."""
-    pairs = lines.where("first is not null").select("file", "line_no", "first", "second")
+    """(file, line_no, first, second, follows) of lines that end in the first part of a word written without a hyphen: the corpus has the joined word at least as often as the compound."""
+    pairs = lines.where("first is not null").select("file", "line_no", "first", "second", "follows")
     low = vocabulary.groupBy(F.translate(F.lower("word"), "‐­¬", "---").alias("w")).agg(F.sum("n").alias("n"))
     joined, compound = low.select(F.col("w").alias("j"), F.col("n").alias("n_j")), low.select(F.col("w").alias("c"), F.col("n").alias("n_c"))
     counted = pairs.join(joined, F.concat("first", "second") == F.col("j"), "left").join(compound, F.concat("first", F.lit("-"), "second") == F.col("c"), "left")
@@ -247,7 +249,7 @@ def _broken_words(lines: DataFrame, vocabulary: DataFrame) -> DataFrame:
     nothing = F.lit(0)
     plain = F.coalesce("n_j", nothing) >= F.greatest(F.coalesce("n_c", nothing), F.lit(1))
     unseen = F.col("n_j").isNull() & F.col("n_c").isNull() & (F.coalesce("n_p", nothing) <= F.coalesce("n_w", nothing) + 5)
-    return counted.where(plain | unseen).select("file", "line_no", "first", "second")
+    return cut(counted.where(plain | unseen).select("file", "line_no", "first", "second", "follows"))
 
 
 def scan_noise(df: DataFrame, file: str = "file", text: str = "text") -> DataFrame:
@@ -259,19 +261,24 @@ def scan_noise(df: DataFrame, file: str = "file", text: str = "text") -> DataFra
     lines, lone = scan_lines(df, file, text)
     vocabulary = cut(_vocabulary(lines))
     broken = _broken_words(lines, vocabulary)
-    joined = broken.select("file", "line_no", F.concat("first", "second").alias("word"))
+    joined = broken.select("file", "line_no", "first", "second", "follows", F.concat("first", "second").alias("word"))
     bad = cut(misread_words(vocabulary.unionByName(joined.groupBy("word").agg(F.count("*").alias("n"))).groupBy("word").agg(F.sum("n").alias("n"))))
     edge = lines.where("kind <> 'body'").select("file", "line_no", "kind").unionByName(lone.withColumn("kind", F.lit("header")))
     words = lines.select("file", "line_no", F.explode("words").alias("word")).join(_common(vocabulary, bad), "word", "left_anti")
-    misread = words.unionByName(_parts(joined, broken)).join(bad, "word", "left_semi").select("file", "line_no").distinct()
+    misread = words.join(bad, "word", "left_semi").select("file", "line_no").unionByName(_misread_parts(joined, bad)).distinct()
     hyphen = broken.select("file", "line_no", F.lit("hyphen").alias("kind"))
     inner = hyphen.unionByName(misread.withColumn("kind", F.lit("misread"))).join(lone, ["file", "line_no"], "left_anti")
     return edge.unionByName(inner).withColumnRenamed("file", file)
 
 
-def _parts(joined: DataFrame, broken: DataFrame) -> DataFrame:
-    """Broken words as words of the line that they begin on."""
-    return joined
+def _misread_parts(joined: DataFrame, bad: DataFrame) -> DataFrame:
+    """(file, line_no) of the lines with the misread part of a broken word: the one that its right reading doesn't begin, or end, with."""
+    found = joined.join(bad, "word")
+    odd = lambda c: ~F.col(c).rlike(r"^[\p{L}\p{M}'’-]+$")
+    early = F.coalesce(~F.startswith("fix", "first"), odd("first"))
+    late = F.coalesce(~F.endswith("fix", "second"), odd("second"))
+    lines = F.array_compact(F.array(F.when(early | ~late, F.col("line_no")), F.when(late, F.col("follows"))))
+    return found.select("file", F.explode(lines).alias("line_no"))
 
 
 def _common(vocabulary: DataFrame, bad: DataFrame) -> DataFrame:
