@@ -110,10 +110,10 @@ def removed_lines(lines: DataFrame) -> DataFrame:
     return gone.unionByName(numbers)
 
 
-def cleaned_text(df: DataFrame, file: str = "file", text: str = "text") -> DataFrame:
-    """(file, text): each distinct file without its banners and page numbers, blank lines collapsed to one, blanks at line ends gone."""
+def cleaned_text(df: DataFrame, file: str = "file", text: str = "text", removed: DataFrame | None = None) -> DataFrame:
+    """(file, text): each distinct file without its banners and page numbers, or without the lines of `removed`, blank lines collapsed to one, blanks at line ends gone."""
     rows = df.where(F.col(f"`{text}`").isNotNull()).select(F.col(f"`{file}`").alias("file"), F.col(f"`{text}`").alias("text")).distinct()
-    gone = removed_lines(page_lines(rows)).groupBy(F.col("file").alias("g")).agg(F.collect_set("line_no").alias("gone"))
+    gone = (removed_lines(page_lines(rows)) if removed is None else removed).groupBy(F.col("file").alias("g")).agg(F.collect_set("line_no").alias("gone"))
     joined = rows.join(gone, F.col("file") == F.col("g"), "left")
     out = F.coalesce("gone", F.array().cast("array<int>"))
     kept = F.filter(F.split("text", "\n", -1), lambda x, i: ~F.array_contains(out, (i + 1).cast("int")))
@@ -131,9 +131,17 @@ def characters(df: DataFrame, key: str, text: str) -> DataFrame:
     return each.where("character <> ''").groupBy(key, "character").agg(F.count("*").alias("n"))
 
 
+def _sorted_characters(text: Column) -> Column:
+    return F.array_join(F.sort_array(F.split(F.regexp_replace(text, r"\s", ""), "")), "")
+
+
 def integrity(raw: DataFrame, clean: DataFrame, removed: DataFrame, file: str = "file") -> DataFrame:
-    """(file, verdict): OK where the characters of the raw text are those of the clean text and the removed lines together, else MISMATCH."""
-    before = characters(raw, file, "text").select(file, "character", F.col("n").alias("d"))
-    after = characters(clean, file, "text").unionByName(characters(removed, file, "line")).select(file, "character", (-F.col("n")).alias("d"))
-    balance = before.unionByName(after).groupBy(file, "character").agg(F.sum("d").alias("d"))
-    return balance.groupBy(file).agg(F.when(F.max(F.abs("d")) == 0, "OK").otherwise("MISMATCH").alias("verdict"))
+    """(file, verdict): OK where the characters of the raw text, white space aside, are those of the clean text and the removed lines together, else MISMATCH.
+
+    Both sides are compared as sorted characters, file by file, so no character is shuffled on its own. Files whose raw text is blank have no row.
+    """
+    taken = removed.groupBy(F.col(file).alias("_t")).agg(F.array_join(F.collect_list("line"), "").alias("taken"))
+    after = clean.select(F.col(file).alias("_f"), F.col("text").alias("kept")).join(taken, F.col("_f") == F.col("_t"), "left")
+    after = after.select("_f", _sorted_characters(F.concat("kept", F.coalesce("taken", F.lit("")))).alias("after"))
+    both = raw.where(F.col("text").rlike(r"\S")).select(F.col(file), _sorted_characters(F.col("text")).alias("before")).join(after, F.col(file) == F.col("_f"), "left")
+    return both.select(file, F.when(F.col("before").eqNullSafe(F.col("after")), "OK").otherwise("MISMATCH").alias("verdict"))

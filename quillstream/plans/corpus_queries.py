@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from quillstream.functions import pages as P
 from quillstream.functions import text as T
 from quillstream.operators import chunking, cleaning, corpus, overlap
-from quillstream.session import table
+from quillstream.session import cut, table
 from quillstream.sources import records
 
 FIELDS = ("title", "authority", "document_type", "product", "plan_number", "uin", "version", "effective_date", "status")
@@ -443,7 +443,8 @@ SELECT file, page_no, CAST(line_no AS INTEGER) AS line_no, line, decision FROM z
 
 def cleaning_integrity(spark: SparkSession, folder: str) -> DataFrame:
     raw = table(spark, folder, "raw_text").distinct()
-    return cleaning.integrity(raw, cleaning.cleaned_text(raw), cleaning.removed_lines(cleaning.page_lines(raw)))
+    removed = cut(cleaning.removed_lines(cut(cleaning.page_lines(raw))))
+    return cleaning.integrity(raw, cleaning.cleaned_text(raw, removed=removed), removed)
 
 
 CLEANING_INTEGRITY = r"SELECT DISTINCT file, 'OK' AS verdict FROM raw_text WHERE regexp_replace(text, '\s', '', 'g') <> ''"

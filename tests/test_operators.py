@@ -188,3 +188,22 @@ def test_top_k_blocks_and_ties(spark, monkeypatch):
     assert [h for q, r, h, s in whole if q == 0] == [0, 3, 6]
     with pytest.raises(ValueError):
         vectors.top_k(e, e, k=0)
+
+
+def test_extraction_health(spark):
+    from quillstream.operators import health
+
+    page = "A page of text that is long enough. " * 20
+    data = [("ok", paged([page, page])), ("gap", f"--- PAGE 1 ---\n{page}\n--- PAGE 3 ---\n{page}"), ("thin", paged(["x"])), ("empty", paged([page * 2, "", page])), ("bad", paged([page + "�" * 60])), ("null", None), ("", "")]
+    df = spark.createDataFrame(data + data[:1], "file string, text string")
+    got = {r["file"]: r["status"] for r in health.extraction_health(df).collect()}
+    assert got == {"ok": "OK", "gap": "REVIEW", "thin": "NEEDS_OCR", "empty": "CHECK", "bad": "REVIEW", "": "NEEDS_OCR"}
+
+
+def test_codes_against_metadata(spark):
+    from quillstream.operators import health
+
+    pages = spark.createDataFrame([("a", "Plan No. 123 x Plan No. 456"), ("b", "UIN 512N123V01"), ("c", "none"), ("d", "Plan No. 123"), (None, "Plan No. 1")], "source_id string, text string")
+    meta = spark.createDataFrame([("a", "123", None), ("b", None, "512N123V02"), ("c", "9", "nan"), ("e", "1", None)], "source_id string, plan_number string, uin string")
+    got = {(r["source_id"], r["field"]): r["issue"] for r in health.code_checks(pages, meta).collect()}
+    assert got == {("a", "plan_number"): "other_values_in_text", ("b", "uin"): "conflict", ("c", "plan_number"): "not_found_in_text"}
