@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,6 +25,20 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     )
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Sends this package to the executors, once a context, so that tasks can import it wherever they run."""
+    context = spark.sparkContext
+    if getattr(context, "_quillstream_shipped", False):
+        return
+    root = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="quillstream-")) / "quillstream.zip"  # the driver's file server hands it out
+    with zipfile.ZipFile(archive, "w") as out:
+        for source in sorted(root.rglob("*.py")):
+            out.write(source, f"quillstream/{source.relative_to(root)}")
+    context.addPyFile(str(archive))
+    context._quillstream_shipped = True
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The session's shared checkpoint folder; one is set only where the cluster names none (local tests)."""
     context = spark.sparkContext
