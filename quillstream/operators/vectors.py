@@ -45,8 +45,8 @@ def _scorer(ids: np.ndarray, block: np.ndarray, k: int):
             rows = _matrix(batch.column(1))
             rows = rows / np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-12)
             own = np.broadcast_to(np.asarray(batch.column(0), np.int64), (len(ids), batch.num_rows))
-            s, i = np.concatenate([best_s, np.round(block @ rows.T, 6)], axis=1), np.concatenate([best_i, own], axis=1)
-            order = np.lexsort((i, -s), axis=1)[:, :k]
+            s, i = np.concatenate([best_s, block @ rows.T], axis=1), np.concatenate([best_i, own], axis=1)
+            order = np.lexsort((i, -np.round(s, 6)), axis=1)[:, :k]
             best_s, best_i = np.take_along_axis(s, order, 1), np.take_along_axis(i, order, 1)
         m = best_s.shape[1]
         yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids, m)), pa.array(best_i.ravel()), pa.array(best_s.ravel())], names=["query_id", "hit", "score"])
@@ -55,7 +55,7 @@ def _scorer(ids: np.ndarray, block: np.ndarray, k: int):
 
 
 def top_k(corpus: DataFrame, queries: DataFrame, k: int = 5, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
-    """(query_id, rank, hit, score): for each query the k rows of the corpus with the largest cosine; ties go to the smaller key.
+    """(query_id, rank, hit, score): for each query the k rows of the corpus with the largest cosine; ties in its first six places go to the smaller key.
 
     Queries are taken in blocks of BLOCK; each task multiplies its rows with a block and keeps k a query, and only those are
     shuffled. Null and empty vectors are left out on both sides.
@@ -73,7 +73,7 @@ def top_k(corpus: DataFrame, queries: DataFrame, k: int = 5, key: str = "vec_id"
         block = block / np.maximum(np.linalg.norm(block, axis=1, keepdims=True), 1e-12)
         part = usable.mapInArrow(_scorer(np.array([r["q"] for r in rows], np.int64), block, k), "query_id long, hit long, score double")
         found = part if found is None else found.unionByName(part)
-    w = Window.partitionBy("query_id").orderBy(F.desc("score"), "hit")
+    w = Window.partitionBy("query_id").orderBy(F.desc(F.round("score", 6)), "hit")
     return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("query_id", "rank", "hit", F.round("score", 4).alias("score"))
 
 
@@ -104,8 +104,8 @@ def indexed_top_k(corpus: DataFrame, queries: DataFrame, centres: np.ndarray, k:
     wanted = queries.where(F.size(vector) > 0).select(F.col(key).cast("long").alias("id"), F.col(vector).alias("vector")).dropDuplicates(["id"])
     rows = usable.mapInArrow(_nearest_cells(centres, 1), schema).select(F.col("id").alias("hit"), "vector", F.get("cells", F.lit(0)).alias("cell"))
     asked = wanted.mapInArrow(_nearest_cells(centres, probes), schema).select(F.col("id").alias("query_id"), F.col("vector").alias("q"), F.explode("cells").alias("cell"))
-    cosine = F.round(F.try_divide(dot(F.col("q"), F.col("vector")), norm(F.col("q")) * norm(F.col("vector"))), 6)
-    w = Window.partitionBy("query_id").orderBy(F.desc("score"), "hit")
+    cosine = F.try_divide(dot(F.col("q"), F.col("vector")), norm(F.col("q")) * norm(F.col("vector")))
+    w = Window.partitionBy("query_id").orderBy(F.desc(F.round("score", 6)), "hit")
     scored = asked.join(rows, "cell").select("query_id", "hit", cosine.alias("score"))
     return scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("query_id", "rank", "hit", F.round("score", 4).alias("score"))
 

@@ -29,8 +29,8 @@ def vector_topk(spark: SparkSession, folder: str) -> DataFrame:
 
 _SCORED = """
 q AS (SELECT vec_id AS query_id, embedding AS v FROM embeddings WHERE vec_id % 50 = 0),
-s AS (SELECT query_id, vec_id AS hit, round(list_cosine_similarity(v::DOUBLE[], embedding::DOUBLE[]), 6) AS score FROM q, embeddings {where}),
-r AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, hit) AS rank, hit, round(score, 4) AS score FROM s)"""
+s AS (SELECT query_id, vec_id AS hit, list_cosine_similarity(v::DOUBLE[], embedding::DOUBLE[]) AS score FROM q, embeddings {where}),
+r AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 6) DESC, hit) AS rank, hit, round(score, 4) AS score FROM s)"""
 VECTOR_TOPK = f"WITH {_SCORED.format(where='')} SELECT query_id, CAST(rank AS INTEGER) AS rank, hit, score FROM r WHERE rank <= 5"
 
 
