@@ -491,6 +491,30 @@ def fetch_status(spark: SparkSession, folder: str) -> DataFrame:
 FETCH_STATUS = r"SELECT regexp_extract(url, '^\w+://([^/:?#]+)', 1) AS host, count_if(status = 'success') AS success, count_if(status = 'failed') AS failed FROM (SELECT DISTINCT * FROM web_sources_manifest) GROUP BY 1"
 
 
+def web_page_records(spark: SparkSession, folder: str) -> DataFrame:
+    t = table(spark, folder, "web_texts").distinct()
+    text = F.col("text")
+    return t.select("text_file", P.web_section(text).alias("section"), T.two_script_label(text).alias("script"), P.table_signal(text).alias("table_signal"), F.length("text").alias("chars"))
+
+
+WEB_PAGE_RECORDS = r"""
+WITH t AS (SELECT DISTINCT text_file, text FROM web_texts),
+l AS (SELECT text_file, text, string_split(text, chr(10)) AS raw, list_filter(list_transform(string_split(text, chr(10)), lambda x: trim(regexp_replace(x, '^\s+|\s+$', '', 'g'))), lambda x: x <> '') AS lines FROM t),
+c AS (SELECT *, len(lines) AS n, len(list_filter(lines, lambda x: length(x) <= 40 AND regexp_matches(x, '[0-9]') AND regexp_matches(x, '^[0-9\s,.%₹/\-–()]+$'))) AS num,
+  len(list_filter(raw, lambda x: regexp_matches(x, '\|.*\||\t.*\t'))) AS piped, regexp_matches(text, '(?i)\btable\s+[0-9]+\b|\bpremium\s+rates?\b|\brate\s+table\b') AS titled FROM l)
+SELECT text_file, CASE WHEN length(lines[1]) <= 150 THEN lines[1] END AS section,
+  CASE WHEN NOT regexp_matches(text, '[\x{0900}-\x{097F}]') THEN 'English' WHEN NOT regexp_matches(text, '[A-Za-z]') THEN 'Hindi' ELSE 'Mixed' END AS script,
+  CASE WHEN (num >= 12 AND num >= 0.35 * n) OR piped >= 3 THEN 'table' WHEN (num >= 6 AND num >= 0.2 * n) OR (titled AND num >= 4) THEN 'possible' ELSE 'none' END AS table_signal, length(text) AS chars FROM c"""
+
+
+def issue_categories(spark: SparkSession, folder: str) -> DataFrame:
+    """Issues between pages and metadata by kind: how many, in how many documents, and one of them."""
+    return metadata_differences(spark, folder).groupBy("issue", "severity", "field").agg(F.count("*").alias("n"), F.count_distinct("source_id").alias("sources"), F.min("source_id").alias("example"))
+
+
+ISSUE_CATEGORIES = f"SELECT issue, severity, field, count(*) AS n, count(DISTINCT source_id) AS sources, min(source_id) AS example FROM ({METADATA_DIFFERENCES}) GROUP BY ALL"
+
+
 def paged_texts(spark: SparkSession, folder: str) -> DataFrame:
     p = _pages(spark, folder).select("filename", "page_number", "text").where("filename is not null")
     return records.paged_text(p).select("filename", F.sha2("text", 256).alias("text_hash"), F.length("text").alias("chars"))
@@ -507,7 +531,7 @@ NAMES = (
     "sources_without_metadata", "metadata_without_pages", "metadata_differences", "differing_fields", "page_neighbours", "section_carried", "page_gaps",
     "duplicate_page_ids", "exact_classes", "ordered_dedup", "round_robin_sample", "null_counts", "reason_histogram", "source_summary", "review_queue",
     "priority_rollup", "category_counts", "record_problems", "chunk_windows", "chunk_pack", "chunk_token_stats", "near_duplicates", "containment_pairs",
-    "banners", "printed_page_numbers", "cleaning_integrity", "blank_lines_collapsed", "cleaning_totals", "latest_fetches", "texts_never_stored", "fetch_status", "paged_texts",
+    "banners", "printed_page_numbers", "cleaning_integrity", "blank_lines_collapsed", "cleaning_totals", "latest_fetches", "texts_never_stored", "fetch_status", "web_page_records", "issue_categories", "paged_texts",
 )
 QUERIES = {n: globals()[n] for n in NAMES}
 SQL = {n: globals()[n.upper()] for n in NAMES if n.upper() in globals()}

@@ -106,8 +106,7 @@ def write_vectors(df: DataFrame, path: str, partition: str | None = None, sort:
 def verify_vectors(spark: SparkSession, path: str, expected: DataFrame, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """(rows_written, rows_expected, different, dimensions): what a written vector table holds against what it should."""
     written = spark.read.parquet(path)
-    w = written.select(key, F.sha2(F.to_json(F.struct(vector)), 256).alias("w"))
+    w = written.select(key, F.sha2(F.to_json(F.struct(vector)), 256).alias("w"), F.size(vector).alias("size"))
     e = expected.select(F.col(key).alias("_k"), F.sha2(F.to_json(F.struct(vector)), 256).alias("e"))
     both = w.join(e, F.col(key) == F.col("_k"), "full")
-    sums = both.agg(F.count("w").alias("rows_written"), F.count("e").alias("rows_expected"), F.count_if(~F.col("w").eqNullSafe(F.col("e"))).alias("different"))
-    return sums.join(F.broadcast(written.agg(F.count_distinct(F.size(vector)).alias("dimensions"))))
+    return both.agg(F.count("w").alias("rows_written"), F.count("e").alias("rows_expected"), F.count_if(~F.col("w").eqNullSafe(F.col("e"))).alias("different"), F.count_distinct("size").alias("dimensions"))
