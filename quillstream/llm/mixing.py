@@ -147,17 +147,17 @@ def mix_report(documents: DataFrame, targets: DataFrame, path: str = TOKENIZER)
     own = groups.where("source is not null").groupBy("source").agg(
         F.sum("documents").alias("documents"), F.sum("tokens").alias("tokens"), F.max("rate").alias("repeats"), F.max("cap").alias("cap"),
         F.sum(F.col("rate") * F.col("tokens")).alias("mixed_tokens"))
-    mixed = groups.agg(F.sum(F.col("rate") * F.col("tokens")).alias("all_mixed"))
+    mixed = float(groups.agg(F.sum(F.col("rate") * F.col("tokens"))).first()[0] or 0.0)
     want = targets.where("source is not null").groupBy("source").agg(F.max("target_share").alias("target_share"), F.max("max_repeats").alias("max_repeats"))
     zero = lambda c: F.coalesce(c, F.lit(0.0))
     full = zero(F.col("repeats")) >= zero(F.col("cap")) - 1e-3
     capacity = F.coalesce("max_repeats", F.lit(0)) * zero(F.col("tokens"))
     return (
-        want.join(own, "source", "left").join(fit, "source", "left").join(F.broadcast(mixed))
+        want.join(own, "source", "left").join(fit, "source", "left")
         .select(
             "source", F.coalesce("documents", F.lit(0)).alias("documents"), zero(F.col("tokens")).cast("long").alias("tokens"), "target_share", "max_repeats",
             F.round(zero(F.col("repeats")), 4).alias("repeats"), F.round(zero(F.col("mixed_tokens"))).cast("long").alias("mixed_tokens"),
-            F.round(zero(F.try_divide("mixed_tokens", "all_mixed")), 6).alias("reached_share"),
+            F.round(zero(F.try_divide("mixed_tokens", F.lit(mixed))), 6).alias("reached_share"),
             (full & (capacity < zero(F.col("goal")))).alias("short"),
         )
     )

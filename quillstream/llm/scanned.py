@@ -283,8 +283,8 @@ def _misread_parts(joined: DataFrame, bad: DataFrame) -> DataFrame:
 
 def _common(vocabulary: DataFrame, bad: DataFrame) -> DataFrame:
     """The words that make up at least a 20,000th of the corpus each, so at most 20,000; they are taken out before the rare ones are shuffled."""
-    whole = vocabulary.agg(F.sum("n").alias("whole"))
-    return F.broadcast(vocabulary.join(F.broadcast(whole)).where("n * 20000 >= whole").join(bad, "word", "left_anti").select("word"))
+    whole = vocabulary.agg(F.sum("n")).first()[0] or 0
+    return F.broadcast(vocabulary.where(F.col("n") * 20000 >= whole).join(bad, "word", "left_anti").select("word"))
 
 
 def _rebuilder(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
