@@ -26,6 +26,7 @@ _BROKEN = re.compile(r"�|[¥¢~|](?=[\wऀ-ॿ])|(?<=[\wऀ-ॿ])[¥¢~|]|[ऀ
 _NUMBER = re.compile(r"[\d,./\-]*\d[\d,./\-]*\Z")
 _LABELLED = re.compile(r"(?i)\W*(?:p\s*a\s*g\s*e|pg|p|seite|hal(?:aman)?|पृष्ठ|पान)\W*([0-9OIlSBZ]+|[ivxl]+)(?:\W*(?:of|/|dari|में से)\W*[0-9OIlSBZ]+)?\W*\Z")
 _BARE = re.compile(r"\W*([0-9OIlSBZ]+|[ivxl]+|[IVXL]+)(?:\s*(?:/|of)\s*([0-9OIlSBZ]+))?\W*\Z")
+_ALONE = re.compile(r"[\[(\-– ]*(?:[0-9]{1,3}(?: ?/ ?[0-9]{1,3})?|[ivxl]{1,5})[\])\-– ]*\Z")
 _ROMAN = {"i": 1, "v": 5, "x": 10, "l": 50}
 _EDGE_MARKS = "\"'“”‘’()[]{}<>.,;:?*•«»।…"
 
@@ -64,9 +65,9 @@ def layout(text: str, title: str = "") -> list[tuple[int, int, str, str]]:
     """(line number, page, kind, line) of each line but the page markers and blank lines; kind is body, edge, header, page_number or
     cover, where edge lines are body lines outermost on a page.
 
-    A header or footer is a line on a page's edge whose letters come again, about the same, on the same edge of another page, or
-    are those of the file's title. A page
-    number has a label, or its value less the page's place is the same on two pages or more.
+    A page number has a label, or its value less the page's place is the same on two pages or more, or, in a file without
+    such pages, it stands alone on the very edge with no other number beside it. A header or footer is a line on a page's edge whose letters come again, about the same, on the same edge of another page, or
+    are those of the file's title.
     """
     pages: list[list[tuple[int, str]]] = [[]]
     for n, line in enumerate(text.split("\n"), 1):
@@ -92,8 +93,13 @@ def layout(text: str, title: str = "") -> list[tuple[int, int, str, str]]:
             elif len(squashed) <= 16 and (m := _BARE.match(squashed)) and (v := _value(m[1])) is not None:
                 bare.append((place, n, v))
                 offsets.setdefault(v - place, set()).add(place)
+    settled = {o for o, pages_ in offsets.items() if len(pages_) >= 2 and len(pages_) >= 0.4 * len(body)}
     for place, n, v in bare:
-        if len(offsets[v - place]) >= 2 and len(offsets[v - place]) >= 0.4 * len(body):
+        edge = edges[place]
+        at = next(i for i, (_, m, _) in enumerate(edge) if m == n)
+        near = [x for k, _, x in edge if abs(k - edge[at][0]) == 1 and (k < 0) == (edge[at][0] < 0)]
+        alone = edge[at][0] in (0, -1) and _ALONE.match(edge[at][2].strip()) and len(body[place]) > COVER and not any(_BARE.match(x.strip()) for x in near)
+        if v - place in settled or alone and not settled:
             kind[n] = "page_number"
     heading = _letters(re.sub(r"\.\w+\Z", "", re.sub(r"\A[A-Z]+ \d+ ", "", title)))
     able = {n for edge in edges for _, n, x in edge if _running(x)}
