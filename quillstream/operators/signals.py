@@ -91,7 +91,7 @@ def floor_percentiles(df: DataFrame, value: str, shares: tuple[float, ...] = (0.
     """(group, share, value): the value at the index floor(share * (n - 1)) of the sorted values; no row for a group without values.
 
     Exact without sorting a group in one task: a histogram of `buckets` equal parts of each group's range tells in which part
-    the wanted index lies, and only that part is sorted.
+    the wanted index lies, and only that part's different values are sorted.
     """
     key = F.col(group) if group else F.lit("all")
     plain = df.select(key.alias("g"), F.col(value).cast("double").alias("v")).where(F.col("v").isNotNull())
@@ -103,8 +103,10 @@ def floor_percentiles(df: DataFrame, value: str, shares: tuple[float, ...] = (0.
     wanted = before.withColumn("share", F.explode(F.array(*map(F.lit, shares)))).withColumn("at", F.floor(F.col("share") * (F.col("n") - 1)))
     wanted = wanted.where((F.col("at") >= F.col("before")) & (F.col("at") < F.col("before") + F.col("m"))).select(F.col("g").alias("wg"), F.col("part").alias("wp"), "share", (F.col("at") - F.col("before") + 1).alias("place"))
     near = placed.join(wanted.select(F.col("wg").alias("xg"), F.col("wp").alias("xp")).distinct(), F.col("g").eqNullSafe(F.col("xg")) & (F.col("part") == F.col("xp")), "left_semi")
-    ranked = near.withColumn("r", F.row_number().over(Window.partitionBy("g", "part").orderBy("v")))
-    hit = ranked.join(wanted, F.col("g").eqNullSafe(F.col("wg")) & (F.col("part") == F.col("wp")) & (F.col("r") == F.col("place")))
+    counted = near.groupBy("g", "part", "v").agg(F.count("*").alias("c"))  # however often a value comes, it is one row
+    upto = counted.withColumn("r", F.sum("c").over(Window.partitionBy("g", "part").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)))
+    inside = (F.col("place") <= F.col("r")) & (F.col("place") > F.col("r") - F.col("c"))
+    hit = upto.join(wanted, F.col("g").eqNullSafe(F.col("wg")) & (F.col("part") == F.col("wp")) & inside)
     return hit.select(F.col("g").alias(group or "group"), "share", F.col("v").alias("value"))
 
 
