@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -38,43 +40,193 @@ _MARK = re.compile("|".join(f"(?:{p})" for p in STYLES.values()))
 _HINT = r"[{}<>«»\[\]@#%$]|__"
 _VARIABLE = re.compile(r"\w_\w|\w\.\w|[a-z][A-Z]")
 _WORD = re.compile(r"[^\W\d_]+")
+_TOKEN = re.compile(r"[^\W\d_]+|\d+(?:[.,/:-]\d+)*")
+#: Words on each side that make a place, and the most words and characters of a value.
+SIDE, VALUE_WORDS, VALUE_CHARS = 3, 8, 80
+#: Bits of each filter through which texts are read for values; fuller filters let more places through to the join, nothing else.
+FILTER_BITS = 1 << 24
+_START, _END = "\x02", "\x03"
+# Styles that editors and markup use as well, and tags that stand without a closing one.
+_LOOSE = ("bracket", "angle")
+_SINGLE_TAGS = frozenset("br hr p li img input".split())
+_EDGE = 200
+
+
+class _Numbers(dict):
+    """A word's number, the same in every task; all figures have one, as they differ between records of one template."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) > 500_000:
+            self.clear()
+        masked = "#" if word[:1].isdigit() else word
+        self[word] = n = int.from_bytes(hashlib.blake2b(masked.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big") >> 1
+        return n
+
+
+def _mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    x = (a ^ (b + np.uint64(0x9E3779B97F4A7C15) + (a << np.uint64(6)) + (a >> np.uint64(2)))) * np.uint64(0xBF58476D1CE4E5B9)
+    return x ^ (x >> np.uint64(29))
+
+
+def _grams(numbers: np.ndarray, after: bool) -> list[np.ndarray]:
+    """For each length up to SIDE: the hash of so many words that end at (before a value) or begin at (after one) each word."""
+    out = [_mix(numbers, np.uint64(7 + after))]
+    for k in range(1, SIDE):
+        moved = np.zeros_like(numbers)
+        if after:
+            moved[:-k] = numbers[k:]
+        else:
+            moved[k:] = numbers[:-k]
+        out.append(_mix(out[-1], moved))
+    return out
+
+
+def _value_hash(value: str, numbers: _Numbers) -> int:
+    return numbers["=" + " ".join(re.findall(r"\w+", value.replace("_", " ").lower()))]  # digits count here
+
+
+def _sides(text: str, start: int, end: int, last: int, following: int) -> tuple[list[str], list[str]]:
+    """Up to SIDE words on each side of a marker, no further than the markers beside it; the ends of the text are words of their own."""
+    low, high = max(last, start - _EDGE), min(following, end + _EDGE)
+    left, right = _TOKEN.findall(text[low:start].lower()), _TOKEN.findall(text[end:high].lower())
+    if low == 0:
+        left = [_START, *left]
+    elif low != last:
+        left = left[1:]  # may be cut
+    if high == len(text):
+        right = [*right, _END]
+    elif high != following:
+        right = right[:-1]
+    return left[-SIDE:], right[:SIDE]
 
 
 def _markers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     styles = list(STYLES)
+    numbers = _Numbers()
     for batch in batches:
         out = []
         for k, text in enumerate(batch.column("text").to_pylist()):
-            for m in _MARK.finditer(text):
+            marks = list(_MARK.finditer(text))
+            for i, m in enumerate(marks):
+                style, name = styles[m.lastindex - 1], m.group(m.lastindex)
                 left = _WORD.findall(text[max(0, m.start() - 60) : m.start()])[-3:]
                 right = _WORD.findall(text[m.end() : m.end() + 60])[:3]
-                out.append((k, styles[m.lastindex - 1], m.group(m.lastindex), " ".join(left).lower(), " ".join(right).lower(), bool(_VARIABLE.search(m.group(m.lastindex)))))
-        cols = list(zip(*out, strict=True)) or [()] * 6
+                one, two = _sides(text, m.start(), m.end(), marks[i - 1].end() if i else 0, marks[i + 1].start() if i + 1 < len(marks) else len(text))
+                real = sum(w[0].isalpha() for w in (*one, *two))
+                place = [None] * 3
+                if one and two and real >= 2:
+                    n1, n2 = (np.array([numbers[w] for w in x], np.uint64) for x in (one, two))
+                    before, after = _grams(n1, False)[len(one) - 1][-1:], _grams(n2, True)[len(two) - 1][:1]
+                    place = [int(x.view(np.int64)[0]) for x in (before, after, _mix(before, after))]
+                tag = style == "angle" and (name.lower() in _SINGLE_TAGS or f"</{name}>" in text) or style == "bracket" and text[m.end() : m.end() + 1] == "("
+                firm = real >= (4 if style in _LOOSE else 2) and not tag
+                out.append((k, style, name, " ".join(left).lower(), " ".join(right).lower(), bool(_VARIABLE.search(name)), *place, firm, _value_hash(name, numbers)))
+        cols = list(zip(*out, strict=True)) or [()] * 11
         names = ("style", "name", "before", "after")
         yield pa.RecordBatch.from_pydict(
-            {c: batch.column(c).take(pa.array(cols[0], pa.int64())) for c in ("id", "copy")} | {n: pa.array(c, pa.string()) for n, c in zip(names, cols[1:5], strict=True)} | {"variable": pa.array(cols[5], pa.bool_())}
+            {c: batch.column(c).take(pa.array(cols[0], pa.int64())) for c in ("id", "copy")}
+            | {n: pa.array(c, pa.string()) for n, c in zip(names, cols[1:5], strict=True)}
+            | {"variable": pa.array(cols[5], pa.bool_())}
+            | {n: pa.array(c, pa.int64()) for n, c in zip(("left", "right", "place"), cols[6:9], strict=True)}
+            | {"firm": pa.array(cols[9], pa.bool_()), "value": pa.array(cols[10], pa.int64())}
         )
 
 
+def _filter(marks: DataFrame, column: str) -> np.ndarray:
+    """A bit for each hash of the column, FILTER_BITS in all: at most FILTER_BITS / 32 rows come to the driver."""
+    at = F.pmod(F.col(column), F.lit(FILTER_BITS))
+    words = marks.where(F.col(column).isNotNull()).groupBy(F.shiftright(at, 5).alias("w")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(pmod({column}, 32) as int))")).alias("b"))
+    bits = np.zeros(FILTER_BITS // 32, np.uint32)
+    got = words.toPandas()
+    bits[got["w"].to_numpy(np.int64)] = got["b"].to_numpy(np.int64).astype(np.uint32)
+    return bits
+
+
+def _in(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    at = hashes & np.uint64(FILTER_BITS - 1)
+    return (bits[(at >> np.uint64(5)).astype(np.int64)] >> (at & np.uint64(31)).astype(np.uint32)) & np.uint32(1) > 0
+
+
+def _values(filters) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Rows (place, value, empty): what stands in texts between the words of a marked place, and whether that is nothing. Texts are cut into words once; those that
+    may hold a place are looked at again."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        left, right, both = filters.value
+        numbers = _Numbers()
+        for batch in batches:
+            texts = [t.lower() for t in batch.column("text").to_pylist()]
+            split = [_TOKEN.findall(t) for t in texts]
+            flat = np.fromiter((numbers[w] for ws in split for w in (_START, *ws, _END)), np.uint64)
+            sizes = np.array([len(ws) + 2 for ws in split], np.int64)
+            ends = np.cumsum(sizes)
+            text_of = np.repeat(np.arange(len(split)), sizes)
+            found = set()
+            spans: dict[int, list[tuple[int, int]]] = {}
+            afters = [(g, _in(right, g)) for g in _grams(flat, True)]
+            for before in _grams(flat, False):
+                at = np.flatnonzero(_in(left, before))
+                for gap in range(VALUE_WORDS + 1):
+                    near = at[at + gap + 1 < ends[text_of[at]]]
+                    for after, known in afters:
+                        hit = near[known[near + gap + 1]]
+                        place = _mix(before[hit], after[hit + gap + 1])
+                        fits = _in(both, place)
+                        for i, p in zip(hit[fits].tolist(), place[fits].view(np.int64).tolist(), strict=True):
+                            k = int(text_of[i])
+                            if k not in spans:
+                                spans[k] = [(0, 0), *(m.span() for m in _TOKEN.finditer(texts[k])), (len(texts[k]),) * 2]
+                            j = i - int(ends[k] - sizes[k])
+                            value = texts[k][spans[k][j][1] : spans[k][j + gap + 1][0]]
+                            if len(value) <= VALUE_CHARS and not _MARK.search(value):
+                                found.add((p, _value_hash(value, numbers), not gap))
+            cols = list(zip(*found, strict=True)) or [()] * 3
+            yield pa.RecordBatch.from_pydict({"place": pa.array(cols[0], pa.int64()), "value": pa.array(cols[1], pa.int64()), "empty": pa.array(cols[2], pa.bool_())})
+
+    return scan
+
+
 def open_slots(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, style, name, before, after): slots that kept a variable in place of a value.
 
-    Marked names are aligned by the words on both sides, which same-template records share. A place where the records differ is a
-    slot; a place that holds the very same marker in each of two or more different records belongs to the template's own words (a text that
-    explains markers), and is none. A name counts where the corpus marks it in two styles or more, or where it looks like
-    a variable (customer_name, branchName, agent.code); so an editor's [sic] is none.
+    Marked names are aligned by the words on both sides, which same-template records share, with each other and with the values that
+    any text has between these words. A place where the records differ is a slot; a place that holds the very same marker in each
+    of two or more different records and a value in none belongs to the template's own words (a text that explains markers), and is
+    no slot. A name counts where the corpus marks it in two styles or more, where it looks like a variable (customer_name,
+    branchName, agent.code), or where other texts have two values or more at its place, none of them the name itself, and none
+    goes on there without any; places that others leave out must be the fewer ones of a name. So an editor's [sic] or [the] is none.
+
+    A place reaches to SIDE words or numbers on each side, but not over another marker, and needs two words in all to be compared with values;
+    in brackets and angles, which editors and markup use too, a name without other signs needs four. Places travel as hashes;
+    filters of a fixed size, sent to the tasks, say which words of a text can be one.
     """
     kind = df.schema[key].dataType.simpleString()
     rows = df.select(F.col(f"`{key}`").alias("id"), F.xxhash64(f"`{text}`").alias("copy"), F.col(f"`{text}`").alias("text")).where(F.col("text").rlike(_HINT))
-    marks = rows.mapInArrow(_markers, f"id {kind}, copy long, style string, name string, before string, after string, variable boolean").distinct()
-    marks = cut(marks)  # the marked places only, read three times
+    marks = rows.mapInArrow(_markers, f"id {kind}, copy long, style string, name string, before string, after string, variable boolean, left long, right long, place long, firm boolean, value long").distinct()
+    marks = cut(marks)  # the marked places only
     names = marks.groupBy("name").agg((F.max(F.col("variable").cast("int")) + F.when(F.min("style") != F.max("style"), 1).otherwise(0)).alias("signs")).where("signs > 0")
     place = marks.groupBy("before", "after").agg(
         F.when(F.min("copy") != F.max("copy"), F.lit(True)).otherwise(F.lit(False)).alias("many"),
         (F.min(F.struct("style", "name")) == F.max(F.struct("style", "name"))).alias("constant"),
     )
-    own = place.where("many and constant").select("before", "after")
-    return marks.join(names, "name", "left_semi").join(own, ["before", "after"], "left_anti").select(F.col("id").alias(key), "style", "name", "before", "after")
+    own = place.where("many and constant").select("before", "after", F.lit(True).alias("own"))
+    judged = marks.join(names.withColumn("signed", F.lit(True)), "name", "left").join(own, ["before", "after"], "left")
+    judged = cut(judged.withColumn("signed", F.coalesce("signed", F.lit(False))).withColumn("own", F.coalesce("own", F.lit(False))).drop("signs", "copy"))
+    sure, doubt = judged.where("signed and not own"), judged.where("(own and signed) or (firm and not signed)")
+    open_ = doubt.where("place is not null").select("left", "right", "place").distinct()
+    filters = df.sparkSession.sparkContext.broadcast([_filter(open_, c) for c in ("left", "right", "place")])
+    texts = df.select(F.col(f"`{text}`").alias("text")).where(F.length("text") > 0)
+    values = texts.mapInArrow(_values(filters), "place long, value long, empty boolean").join(open_.select("place").distinct(), "place", "left_semi").distinct()
+    values = cut(values)  # the values at marked places only
+    held = F.when(~F.col("empty"), F.col("value"))
+    known = values.groupBy("place").agg(F.min(held).isNotNull().alias("some"), (F.min(held) != F.max(held)).alias("differ"), F.max("empty").alias("empty"))
+    met = doubt.join(known, "place")
+    plain = met.where("not signed").join(values.select("place", "value"), ["place", "value"], "left_anti")
+    left_out = F.sum(F.when(F.col("empty"), 1).when(F.col("differ"), -1).otherwise(0))
+    slots = met.where("not signed").select("name", "place", "empty", "differ").distinct().groupBy("name").agg(left_out.alias("n")).where("n < 0")
+    named = plain.where("differ and not empty").join(slots, "name", "left_semi").select(*met.columns).unionByName(met.where("signed and some"))
+    columns = [F.col("id").alias(key), "style", "name", "before", "after"]
+    return sure.select(*columns).unionByName(named.select(*columns))
 
 
 def _skeletons(text):

@@ -337,6 +337,17 @@ def test_slots_and_their_explanations(spark):
     assert sorted({r["doc_id"] for r in residue.open_slots(df).collect()}) == [1, 2, 6, 11]
 
 
+def test_slots_that_other_records_fill(spark):
+    letter = "Dear {}, your policy is due on {} May at the {} branch in your town."
+    docs = [(i, letter.format(n, 3 + i, b)) for i, (n, b) in enumerate([("Ranvika Rao", "north"), ("Ode", "harbour"), ("Tam", "hill")])]
+    docs += [(10, letter.format("{{customer_name}}", 9, "south")), (11, letter.format("{{customer_name}}", 12, "hill")), (12, letter.format("Ines", 5, "[Branch]"))]
+    docs += [(20 + i, f"Templates use markers such as {{{{policy_no}}}}; the system fills them {w}.") for i, w in enumerate(("in", "at night"))]
+    docs += [(30, "He wrote that this was teh [sic] word of the day."), (31, "It is paid to him under [the] policy terms as agreed."), (32, "It is paid to him under the policy terms as agreed."), (33, "It is paid to him under these policy terms as agreed.")]
+    docs += [(40, "In the end it was that Rs 500 [sic] changed hands there.")] + [(41 + i, f"In the end it was that Rs {n} changed hands there.") for i, n in enumerate((700, 900))]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    assert sorted({r["doc_id"] for r in residue.open_slots(df).collect()}) == [10, 11, 12]
+
+
 def test_pages_of_nothing_but_residue(spark):
     pick = random.Random(2)
     prose = [" ".join(pick.choices(WORDS, k=25)).capitalize() + "." for _ in range(60)]
