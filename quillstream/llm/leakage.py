@@ -94,12 +94,17 @@ def _shard_matches(docs: list[list[int]], test: Passages, share: float) -> list[
         going = going[text[p[going] + length[going]] == test.flat[q[going] + length[going]]]
         length[going] += 1
     item, doc = test.owner[q], np.searchsorted(begins, p, "right") - 1
-    # an upper bound first: all matches of a document and passage together
+    # an upper bound first: all matches of a document and passage together, each with the words in line beside it that _densest may add
+    reach = length.copy()
+    for k in range(SEED):
+        for a, b, inside in ((p + length + k, q + length + k, q + length + k < limit), (p - 1 - k, q - 1 - k, q - 1 - k >= test.starts[item])):
+            inside = inside & (a >= 0) & (a < len(text))
+            reach += inside & (text[np.where(inside, a, 0)] == test.flat[np.where(inside, b, 0)])
     group = doc * np.int64(len(test.ids)) + item
     order = np.lexsort((p, group))
-    q, p, length, item, doc, group = (x[order] for x in (q, p, length, item, doc, group))
+    q, p, length, reach, item, doc, group = (x[order] for x in (q, p, length, reach, item, doc, group))
     edge = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1])))
-    sums = np.add.reduceat(length, edge)
+    sums = np.add.reduceat(reach, edge)
     hits = []
     for a in edge[sums >= share * test.sizes[item[edge]]].tolist():
         b = int(np.searchsorted(group, group[a], "right"))
@@ -166,7 +171,7 @@ def leaked_passages(df: DataFrame, items: DataFrame, key: str = "doc_id", text:
     Each task cuts its documents into shards of SHARD_WORDS words and builds a suffix array for each; every suffix of every
     passage is looked up by binary search, and each match of SEED words or more is extended to the longest. The matches inside
     a stretch of twice the passage's words count together, in any order, so sentences may stand in another order and single
-    words be replaced (with SURE and STRETCH as a check that it is the passage's wording and not its style); longest and at_word tell the longest verbatim match and its place. The corpus is read once for each
+    words be replaced (with SURE and STRETCH as a check that it is the passage's wording and not its style; where no SEED words in a row are left, nothing is found); longest and at_word tell the longest verbatim match and its place. The corpus is read once for each
     block of passages and never shuffled. Passages are read by the driver in blocks of BLOCK_CHARS letters (at least one passage
     each). Null or empty texts and passages match nothing; a passage under SEED words can't be found; equal rows give
     equal results once.

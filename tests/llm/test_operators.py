@@ -265,6 +265,14 @@ def test_leaks_whole_partly_and_disguised(spark):
     assert {r["doc_id"] for r in leakage.drop_leaked(df, items).collect()} == {3, 8, 9, 10}
 
 
+def test_words_replaced_after_runs_of_four_and_three(spark):
+    w = [f"w{i}" for i in range(45)]
+    dense = " ".join("other" if i % 9 in (4, 8) else x for i, x in enumerate(w))  # 35 of 45 words stay, 20 of them in runs of four
+    df = spark.createDataFrame([(1, f"so it was said {dense} and so on"), (2, " ".join(w[:4]) + " and " + " ".join(w[9:13]))], "doc_id long, text string")
+    found = leakage.leaked_passages(df, spark.createDataFrame([(7, " ".join(w))], "item_id long, passage string"))
+    assert [r[:4] for r in rows(found)] == [(1, 7, 35, 45)]
+
+
 def test_blocks_of_passages_and_shards_change_nothing(spark, monkeypatch):
     folder = "/root/testdata/sf0.001"
     df, items = spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/eval_items.parquet")
