@@ -11,9 +11,16 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 
 def read_events(spark: SparkSession, folder: str, name: str = "events", time: str = "ts", delay: str = "1 hour", files: int = 100) -> DataFrame:
-    """The events table as a stream with a watermark on its time."""
-    schema = spark.read.parquet(f"{folder}/{name}.parquet").schema
-    stream = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}*.parquet").option("maxFilesPerTrigger", files).parquet(folder)
+    """The events table, one file or a folder of part files, as a stream with a watermark on its time."""
+    path = f"{folder}/{name}.parquet"
+    schema = spark.read.parquet(path).schema
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files)
+    context = spark.sparkContext
+    at = context._jvm.org.apache.hadoop.fs.Path(path)
+    if at.getFileSystem(context._jsc.hadoopConfiguration()).getFileStatus(at).isDirectory():
+        stream = reader.parquet(path)
+    else:
+        stream = reader.option("pathGlobFilter", f"{name}*.parquet").parquet(folder)
     return stream.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, delay)
 
 

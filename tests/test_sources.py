@@ -64,3 +64,10 @@ def test_streamed_windows_and_sessions(spark, tmp_path):
     assert 0 < sum(r["n"] for r in out.collect()) <= batch.count()  # windows still open are held back
     sessions = streams.sessions_stream(streams.read_events(spark, folder), "ts", "1 hour", ["user_id"])
     assert streams.run_to_table(sessions, str(tmp_path / "s"), str(tmp_path / "sc")).count() > 0
+
+
+def test_stream_of_a_folder_of_part_files(spark, tmp_path):
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    events.repartition(3).write.parquet(f"{tmp_path}/in/events.parquet")
+    got = streams.run_to_table(streams.read_events(spark, f"{tmp_path}/in"), f"{tmp_path}/out", f"{tmp_path}/check")
+    assert got.count() == events.count() > 0
