@@ -12,7 +12,7 @@ from . import boilerplate, languages, leakage, mixing, repeated_lines, residue,
 
 
 def p3_found(spark: SparkSession, folder: str) -> DataFrame:
-    return repeated_lines.repeated_lines(table(spark, folder, "cleaned")).select("file", "line_no").withColumnRenamed("file", "source_file")
+    return repeated_lines.repeated_lines(table(spark, folder, "cleaned")).select("file", "line_no").distinct().withColumnRenamed("file", "source_file")
 
 
 def p3_cleaned(spark: SparkSession, folder: str) -> DataFrame:
@@ -20,17 +20,17 @@ def p3_cleaned(spark: SparkSession, folder: str) -> DataFrame:
 
 
 _LINES = """
-rows AS (SELECT DISTINCT source_file, site, text FROM cleaned),
-lines AS (SELECT source_file, site, unnest(string_split(text, chr(10))) AS line, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS line_no FROM rows),
+rows AS (SELECT source_file, site, text, row_number() OVER () AS r FROM (SELECT DISTINCT source_file, site, text FROM cleaned)),
+lines AS (SELECT r, source_file, site, unnest(string_split(text, chr(10))) AS line, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS line_no FROM rows),
 keyed AS (SELECT *, regexp_replace(lower(line), '[^\\p{L}\\p{M}]', '', 'g') AS k FROM lines WHERE site IS NOT NULL),
 files AS (SELECT site, count(DISTINCT source_file) AS n FROM rows WHERE site IS NOT NULL GROUP BY site),
 often AS (SELECT k, site FROM keyed JOIN files USING (site) WHERE regexp_matches(k, '\\p{L}') GROUP BY k, site, n HAVING count(DISTINCT source_file) >= 5 AND count(DISTINCT source_file) >= 0.2 * n),
-gone AS (SELECT DISTINCT source_file, site, CAST(line_no AS INTEGER) AS line_no FROM keyed JOIN often USING (site, k))
+gone AS (SELECT DISTINCT r, source_file, site, CAST(line_no AS INTEGER) AS line_no FROM keyed JOIN often USING (site, k))
 """
-P3_FOUND_SQL = f"WITH {_LINES} SELECT source_file, line_no FROM gone"
+P3_FOUND_SQL = f"WITH {_LINES} SELECT DISTINCT source_file, line_no FROM gone"
 P3_CLEANED_SQL = f"""WITH {_LINES},
-kept AS (SELECT l.source_file, l.site, string_agg(l.line, chr(10) ORDER BY l.line_no) FILTER (WHERE g.line_no IS NULL) AS text, count(g.line_no) AS n
-         FROM lines l LEFT JOIN gone g ON l.source_file = g.source_file AND l.site = g.site AND l.line_no = g.line_no GROUP BY l.source_file, l.site),
+kept AS (SELECT l.r, l.source_file, l.site, string_agg(l.line, chr(10) ORDER BY l.line_no) FILTER (WHERE g.line_no IS NULL) AS text, count(g.line_no) AS n
+         FROM lines l LEFT JOIN gone g ON l.r = g.r AND l.line_no = g.line_no GROUP BY l.r, l.source_file, l.site),
 before AS (SELECT source_file, max(lines_removed) AS lines_removed FROM cleaning_summary GROUP BY source_file)
 SELECT k.source_file, k.site, coalesce(k.text, '') AS text, CAST(coalesce(b.lines_removed, 0) + k.n AS INTEGER) AS lines_removed
 FROM kept k LEFT JOIN before b USING (source_file)"""

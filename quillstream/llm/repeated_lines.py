@@ -1,17 +1,11 @@
-"""Lines repeated across one site's documents: suffix arrays over line identifiers."""
+"""Lines repeated across one site's documents: suffix classes over line identifiers by prefix doubling."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Longest common prefix, in lines, that the sorted suffixes carry. Longer blocks appear as chains of overlapping blocks.
-DEPTH = 4
-_MIX = np.uint64(0x9E3779B97F4A7C15)
+from quillstream.session import cut
 
 
 def line_key(line):
@@ -19,142 +13,113 @@ def line_key(line):
     return F.regexp_replace(F.lower(line), r"[^\p{L}\p{M}]", "")
 
 
-def _documents(df: DataFrame, file: str, site: str, text: str) -> DataFrame:
-    """(site, file, lines), repeated rows once; rows without a site, file or text belong to no site."""
-    return (
-        df.select(F.col(f"`{site}`").alias("site"), F.col(f"`{file}`").alias("file"), F.col(f"`{text}`").alias("text"))
-        .where("site is not null and file is not null and text is not null")
-        .dropDuplicates(["site", "file", "text"])
-        .select("site", "file", F.split("text", "\n", -1).alias("lines"))
-    )
-
-
-def _identified(documents: DataFrame) -> DataFrame:
-    """Adds ids, the identifiers of the lines with letters, in their order, and at, the numbers of these lines."""
-    keys = F.transform("lines", lambda x, i: F.struct(line_key(x).alias("key"), (i + 1).alias("no")))
-    kept = F.filter(keys, lambda x: x["key"].rlike(r"\p{L}"))
-    return documents.select("site", "file", kept.alias("kept")).select(
-        "site", "file", F.transform("kept", lambda x: F.xxhash64(x["key"])).alias("ids"), F.transform("kept", lambda x: x["no"]).alias("at")
-    )
-
-
-def _prefix(base: np.ndarray, following: np.ndarray) -> np.ndarray:
-    """The name of a prefix that is one line longer."""
-    with np.errstate(over="ignore"):
-        x = (base.view(np.uint64) ^ (following.view(np.uint64) + _MIX + (base.view(np.uint64) << np.uint64(6)))) * _MIX
-        return (x ^ (x >> np.uint64(29))).view(np.int64)
-
-
-def _suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row per suffix of each document's identifiers, cut at DEPTH lines. `first` has bit m-1 where the document holds that prefix of m lines for the first time."""
-    for batch in batches:
-        table = pa.table(batch)
-        lists = table["ids"].combine_chunks()
-        ids = lists.flatten().to_numpy(zero_copy_only=False)
-        counts = np.diff(lists.offsets.to_numpy())
-        if not len(ids):
-            continue
-        row = np.repeat(np.arange(len(counts)), counts)
-        end = np.repeat(np.cumsum(counts), counts)
-        place = np.arange(len(ids))
-        keys, name, first = [ids], ids, np.zeros(len(ids), np.int32)
-        for m in range(1, DEPTH + 1):
-            inside = place + m <= end
-            order = np.lexsort((place, name, row))
-            fresh = np.ones(len(ids), bool)
-            fresh[1:] = (row[order][1:] != row[order][:-1]) | (name[order][1:] != name[order][:-1])
-            mark = np.zeros(len(ids), bool)
-            mark[order] = fresh
-            first |= (mark & inside).astype(np.int32) << (m - 1)
-            if m < DEPTH:
-                following = np.zeros(len(ids), np.int64)
-                follows = place + m < end
-                following[follows] = ids[place[follows] + m]
-                keys.append(following)
-                name = _prefix(name, following)
-        out = {"site": table["site"].combine_chunks().take(pa.array(row)), "file": table["file"].combine_chunks().take(pa.array(row))}
-        out |= {f"k{m + 1}": pa.array(k) for m, k in enumerate(keys)} | {"first": pa.array(first)}
-        yield from pa.table(out).to_batches(max_chunksize=20_000)
-
-
-def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Over sorted suffixes: for each stretch that shares a prefix of m lines, in how many documents the prefix is new. A stretch cut by a batch or partition comes in parts."""
-    for batch in batches:
-        n = batch.num_rows
-        if not n:
-            continue
-        site = batch.column("site").dictionary_encode()
-        codes = np.asarray(site.indices)
-        same = codes[1:] == codes[:-1]
-        first = np.asarray(batch.column("first"))
-        name = None
-        parts = []
-        for m in range(1, DEPTH + 1):
-            key = np.asarray(batch.column(f"k{m}"))
-            name = key if name is None else _prefix(name, key)
-            same = same & (key[1:] == key[:-1])  # the common prefix with the suffix before has at least m lines
-            starts = np.flatnonzero(np.concatenate(([True], ~same)))
-            documents = np.add.reduceat((first >> (m - 1)) & 1, starts)
-            keep = documents > 0
-            starts, documents = starts[keep], documents[keep]
-            parts.append(
-                pa.table(
-                    {
-                        "site": batch.column("site").take(pa.array(starts)),
-                        "n_lines": pa.array(np.full(len(starts), m, np.int32)),
-                        "block": pa.array(name[starts]),
-                        "documents": pa.array(documents.astype(np.int64)),
-                    }
-                )
-            )
-        yield from pa.concat_tables(parts).combine_chunks().to_batches()
-
-
-def repeated_blocks(df: DataFrame, file: str = "source_file", site: str = "site", text: str = "text", min_share: float = 0.2, min_files: int = 5) -> DataFrame:
-    """Blocks of 1 to DEPTH lines that stand in at least `min_share` of a site's distinct files, and in at least `min_files`.
-
-    Suffix array: each document's line identifiers give one suffix per line with letters; a range sort by (site, next DEPTH
-    identifiers, file) orders all suffixes of all sites over all tasks, a hot site or line being cut where it is long. A
-    stretch of neighbours whose common prefix has m lines is a block; its documents are added up over the pieces of the sort.
-    Returns (site, n_lines, block, documents). Nulls and empty texts give no block; equal rows count once, and a file that
-    comes with several texts counts once for each text, in `documents` and in the number of files alike.
-    """
-    identified = _identified(_documents(df, file, site, text))
-    suffixes = identified.mapInArrow(_suffixes, "site string, file string, " + ", ".join(f"k{m} long" for m in range(1, DEPTH + 1)) + ", first int")
-    order = ["site", *(f"k{m}" for m in range(1, DEPTH + 1)), "file"]
-    found = suffixes.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_runs, "site string, n_lines int, block long, documents long")
-    return _spanning(found.groupBy("site", "n_lines", "block").agg(F.sum("documents").alias("documents")), df, file, site, text, min_share, min_files)
-
-
-def _spanning(blocks: DataFrame, df: DataFrame, file: str, site: str, text: str, min_share: float, min_files: int) -> DataFrame:
-    files = _documents(df, file, site, text).groupBy(F.col("site").alias("of")).agg(F.count("*").alias("files"))
-    enough = (F.col("documents") >= min_files) & (F.col("documents") >= F.lit(min_share) * F.col("files"))
-    return blocks.where(F.col("documents") >= min_files).join(files, F.col("site") == F.col("of")).where(enough).select("site", "n_lines", "block", "documents")
+def _keyed(df: DataFrame, file: str, site: str, text: str) -> DataFrame:
+    """The rows as (site, file, text, doc): doc is the hash of all three, so texts that differ under one file stay apart."""
+    rows = df.select(F.col(f"`{site}`").alias("site"), F.col(f"`{file}`").alias("file"), F.col(f"`{text}`").alias("text"))
+    gaps = F.concat(*(F.when(F.col(c).isNull(), "0").otherwise("1") for c in ("site", "file", "text")))
+    return rows.withColumn("doc", F.xxhash64("site", "file", "text", gaps))
 
 
-def repeated_lines(df: DataFrame, file: str = "source_file", site: str = "site", text: str = "text", min_share: float = 0.2, min_files: int = 5) -> DataFrame:
-    """(site, file, line_no): each line inside a repeated block. A line of a longer block is itself a block of one line, found in
-    at least as many files, so the blocks of one line cover all. Line numbers count blank lines, from 1."""
-    blocks = repeated_blocks(df, file, site, text, min_share, min_files).where("n_lines = 1").select(F.col("site").alias("of"), "block")
-    lines = _identified(_documents(df, file, site, text)).select("site", "file", F.explode(F.arrays_zip("ids", "at")).alias("x"))
-    lines = lines.select("site", "file", F.col("x.ids").alias("id"), F.col("x.at").cast("int").alias("line_no"))
-    return lines.join(blocks, (F.col("site") == F.col("of")) & (F.col("id") == F.col("block")), "left_semi").select("site", "file", "line_no").distinct()
-
-
-def remove_repeated_lines(df: DataFrame, summary: DataFrame, file: str = "source_file", site: str = "site", text: str = "text", min_share: float = 0.2, min_files: int = 5) -> DataFrame:
-    """(file, site, text, lines_removed): each distinct row of `df` without its repeated lines.
+def _documents(df: DataFrame, file: str, site: str, text: str) -> DataFrame:
+    """(site, file, doc, ids, at): the identifiers of a text's lines with letters, in their order, and their line numbers. An
+    identifier holds its site, so lines of two sites never meet. Rows without a site, file or text belong to no site."""
+    rows = _keyed(df, file, site, text).where("site is not null and file is not null and text is not null")
+    keys = F.transform(F.split("text", "\n", -1), lambda x, i: F.struct(line_key(x).alias("key"), (i + 1).alias("no")))
+    kept = rows.select("site", "file", "doc", F.filter(keys, lambda x: x["key"].rlike(r"\p{L}")).alias("kept"))
+    ids = F.transform("kept", lambda x: F.xxhash64("site", x["key"]))
+    return cut(kept.select("site", "file", "doc", ids.alias("ids"), F.transform("kept", lambda x: x["no"].cast("int")).alias("at")))  # twelve bytes a line
+
+
+def _spanning(suffixes: DataFrame, need: DataFrame, min_files: int) -> DataFrame:
+    """(name, documents) of the prefixes that stand in enough of their site's distinct files."""
+    seen = suffixes.select("site", "name", F.xxhash64("file").alias("f")).distinct()  # spreads a hot line over its files before it is counted
+    seen = seen.groupBy("site", "name").agg(F.count("*").alias("documents")).where(F.col("documents") >= min_files)
+    return seen.join(need, "site").where("documents >= need").select("name", "documents")
+
+
+def _levels(df: DataFrame, file: str, site: str, text: str, min_share: float, min_files: int) -> list[DataFrame]:
+    """One table for each doubling, written once: (site, file, doc, idx, line_no, end_line, name, documents)."""
+    documents = _documents(df, file, site, text)
+    need = documents.select("site", "file").distinct().groupBy("site").agg(F.count("*").alias("files")).select("site", (F.lit(min_share) * F.col("files")).alias("need"))
+    first = documents.select("site", "file", "doc", F.posexplode(F.arrays_zip("ids", "at")).alias("idx", "x"))
+    first = first.select("site", "file", "doc", "idx", F.col("x.at").alias("line_no"), F.col("x.at").alias("end_line"), F.col("x.ids").alias("name"))
+    names = _spanning(documents.select("site", "file", F.explode(F.array_distinct("ids")).alias("name")), need, min_files)
+    levels = [cut(first.join(names, "name").distinct())]
+    while True:
+        n = 1 << (len(levels) - 1)
+        ahead = Window.partitionBy("doc").orderBy("idx").rangeBetween(n, n)  # one text's lines at most
+        longer = levels[-1].select("site", "file", "doc", "idx", "line_no", F.first("end_line").over(ahead).alias("end_line"), "name", F.first("name").over(ahead).alias("next")).where("next is not null")
+        longer = cut(longer.select("site", "file", "doc", "idx", "line_no", "end_line", F.xxhash64("name", "next").alias("name")))
+        level = levels[0].limit(0) if longer.isEmpty() else cut(longer.join(_spanning(longer, need, min_files), "name"))
+        if level.isEmpty():
+            return levels
+        levels.append(level)
+
+
+def spanning_blocks(df: DataFrame, file: str = "source_file", site: str = "site", text: str = "text", min_share: float = 0.2, min_files: int = 5) -> DataFrame:
+    """(site, file, doc, line_no, end_line, n_lines, block, documents): blocks of 1, 2, 4, 8 ... lines that stand in at least
+    `min_share` of a site's distinct files and in at least `min_files`, at every place where they stand.
+
+    The suffixes of all texts, one from each line with letters, are grouped by prefix doubling: a suffix is named by its first
+    line, then by its first two lines, four, eight and so on, the name of 2n lines being that of the two names of n lines. Suffixes
+    of one name are one interval of the suffix array, with a common prefix of at least that many lines; as nothing but these
+    intervals is asked for, names are hashes and nothing is sorted over the corpus. A prefix can span enough files only if both its
+    halves do, so every round goes on with those alone, and rounds end when no prefix does. Any longer block is covered by two
+    blocks of the largest power of two inside it, which span at least as many files; so the blocks found here cover exactly the
+    lines of all blocks.
+
+    Nulls and empty texts give no block; equal rows count once; a file with several texts is one file, and each of its texts (doc)
+    has its own lines. `line_no` counts blank lines, from 1; lines without letters inside a block are passed over.
+    """
+    whole = None
+    for k, level in enumerate(_levels(df, file, site, text, min_share, min_files)):
+        blocks = level.select("site", "file", "doc", "line_no", "end_line", F.lit(1 << k).alias("n_lines"), F.col("name").alias("block"), "documents")
+        whole = blocks if whole is None else whole.unionByName(blocks)
+    return whole
+
+
+def block_lines(df: DataFrame, file: str = "source_file", site: str = "site", text: str = "text", min_share: float = 0.2, min_files: int = 5, min_lines: int = 1) -> DataFrame:
+    """(site, file, doc, line_no, block_lines, documents): the lines that blocks of `min_lines` lines or more cover, with the length
+    of the longest block of spanning_blocks that covers each, and the files of that block. `min_lines` is a power of two; 2 leaves
+    alone lines that come back by themselves only."""
+    if min_lines < 1 or min_lines & (min_lines - 1):
+        raise ValueError("min_lines must be a power of two")
+    levels = _levels(df, file, site, text, min_share, min_files)
+    # a longer block covers the single lines between its ends: each size's starts and ends are carried along the text's lines
+    marks = levels[0].select("site", "file", "doc", "line_no", "end_line", F.lit(1).alias("n_lines"), "documents")
+    for k, level in enumerate(levels[1:], 1):
+        marks = marks.unionByName(level.select("site", "file", "doc", "line_no", "end_line", F.lit(1 << k).alias("n_lines"), "documents"))
+    so_far = Window.partitionBy("doc").orderBy("line_no").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    sizes = [1 << k for k in range(1, len(levels))]
+    reach = [F.max(F.when(F.col("n_lines") == n, F.struct("end_line", "documents"))).over(so_far).alias(f"r{n}") for n in sizes]
+    found = marks.select("site", "file", "doc", "line_no", "n_lines", "documents", *reach).where("n_lines = 1")
+    best = F.struct(F.lit(1).alias("n"), F.col("documents").alias("d"))
+    for n in sizes:
+        best = F.when(F.col(f"r{n}.end_line") >= F.col("line_no"), F.struct(F.lit(n).alias("n"), F.col(f"r{n}.documents").alias("d"))).otherwise(best)
+    found = found.select("site", "file", "doc", "line_no", best.alias("b")).select("site", "file", "doc", "line_no", F.col("b.n").alias("block_lines"), F.col("b.d").alias("documents"))
+    return found if min_lines == 1 else found.where(F.col("block_lines") >= min_lines)
+
+
+def repeated_lines(df: DataFrame, file: str = "source_file", site: str = "site", text: str = "text", min_share: float = 0.2, min_files: int = 5, min_lines: int = 1) -> DataFrame:
+    """(site, file, line_no): each line inside a block that spans enough of its site's files, of any of the file's texts. Line numbers count blank lines, from 1."""
+    return block_lines(df, file, site, text, min_share, min_files, min_lines).select("site", "file", "line_no").distinct()
+
+
+def remove_repeated_lines(df: DataFrame, summary: DataFrame, file: str = "source_file", site: str = "site", text: str = "text", min_share: float = 0.2, min_files: int = 5, min_lines: int = 1) -> DataFrame:
+    """(file, site, text, lines_removed): each distinct row of `df` without its blocks.
 
     lines_removed is the largest value that `summary` has for the file (0 where it has none or null) plus the lines taken out
-    here. A null text stays null, a file of which every line goes has the empty text.
+    of this text. A null text stays null, a file of which every line goes has the empty text.
     """
-    gone = repeated_lines(df, file, site, text, min_share, min_files).groupBy(F.col("file").alias("g_file"), F.col("site").alias("g_site")).agg(F.collect_set("line_no").alias("gone"))
-    before = summary.groupBy(F.col(file).alias("b_file")).agg(F.max("lines_removed").alias("before"))
-    rows = df.select(F.col(f"`{file}`").alias("r_file"), F.col(f"`{site}`").alias("r_site"), F.col(f"`{text}`").alias("r_text")).distinct()
-    rows = rows.join(gone, (F.col("r_file") == F.col("g_file")) & (F.col("r_site") == F.col("g_site")), "left").join(before, F.col("r_file") == F.col("b_file"), "left")
+    found = block_lines(df, file, site, text, min_share, min_files, min_lines)
+    gone = found.groupBy("doc").agg(F.collect_set("line_no").alias("gone"))
+    before = summary.groupBy(F.col(f"`{file}`").alias("file")).agg(F.max("lines_removed").alias("before"))
+    keys = _keyed(df, file, site, text).select("doc", "file").distinct().join(before, "file", "left").select("doc", "before").join(gone, "doc", "left")
+    rows = _keyed(df, file, site, text).dropDuplicates(["doc"]).join(keys, "doc")  # the one shuffle of texts, both by doc
     gone_ = F.coalesce("gone", F.array().cast("array<int>"))
-    lines = F.split("r_text", "\n", -1)
-    kept = F.filter(lines, lambda x, i: ~F.array_contains(gone_, (i + 1).cast("int")))
+    lines = F.split("text", "\n", -1)
+    kept = F.transform(F.array_except(F.sequence(F.lit(1), F.size(lines)), gone_), lambda n: F.element_at(lines, n))
     return rows.select(
-        F.col("r_file").alias(file), F.col("r_site").alias(site), F.when(F.col("r_text").isNotNull(), F.array_join(kept, "\n")).alias(text),
+        F.col("file").alias(file), F.col("site").alias(site), F.when(F.col("text").isNotNull(), F.array_join(kept, "\n")).alias(text),
         (F.coalesce("before", F.lit(0)) + F.size(gone_)).cast("int").alias("lines_removed"),
     )

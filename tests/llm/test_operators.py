@@ -127,11 +127,30 @@ def test_repeated_lines_against_counting(spark):
 
 
 def test_blocks_are_found_over_several_lines(spark):
-    block = "By the desk\nAll rights reserved\nPrint this page"
-    data = [("s", f"f{i}", f"own {chr(97 + i)}\n{block}\nend {chr(97 + i)}") for i in range(8)]
+    block = "By the desk\nAll rights reserved\n\n12\nPrint this page"
+    data = [("s", f"f{i}", f"own {chr(97 + i)}\n{block}\nend {chr(97 + i)}") for i in range(8)] + [("s", "g", "Print this page\nx"), ("s", "g", "other\nBy the desk")]
     df = spark.createDataFrame(data, "site string, source_file string, text string")
-    found = repeated_lines.repeated_blocks(df).groupBy("n_lines").count()
-    assert rows(found) == [(1, 3), (2, 2), (3, 1)]
+    found = repeated_lines.spanning_blocks(df).where("file = 'f0'").select("line_no", "end_line", "n_lines", "documents")
+    assert rows(found) == [(2, 2, 1, 9), (2, 3, 2, 8), (3, 3, 1, 8), (3, 6, 2, 8), (6, 6, 1, 9)]
+    lines = repeated_lines.block_lines(df).where("file in ('f0', 'g')").select("file", "line_no", "block_lines", "documents")
+    assert rows(lines) == [("f0", 2, 2, 8), ("f0", 3, 2, 8), ("f0", 6, 2, 8), ("g", 1, 1, 9), ("g", 2, 1, 9)]
+    several = repeated_lines.block_lines(df, min_lines=2).where("file in ('f0', 'g')").select("file", "line_no")
+    assert rows(several) == [("f0", 2), ("f0", 3), ("f0", 6)]
+
+
+def test_blocks_of_any_length(spark):
+    block = "\n".join(f"legal {chr(97 + k)}" for k in range(11))
+    df = spark.createDataFrame([("s", f"f{i}", f"own {chr(97 + i)}\n{block}") for i in range(6)], "site string, source_file string, text string")
+    assert rows(repeated_lines.spanning_blocks(df).groupBy("n_lines").count()) == [(1, 66), (2, 60), (4, 48), (8, 24)]
+    assert {r["block_lines"] for r in repeated_lines.block_lines(df).collect()} == {8}
+
+
+def test_texts_of_one_file_stay_apart_and_count_as_one_file(spark):
+    data = [("s", f"f{i}", f"own {chr(97 + i)}\nFooter") for i in range(5)] + [("s", "f0", "Footer\nlast words\nof f")] + [("s", "g", f"Seen in one file only\n{w}") for w in ("a", "b", "c", "d", "e", "f")]
+    df = spark.createDataFrame(data, "site string, source_file string, text string")
+    summary = spark.createDataFrame([("f0", 2)], "source_file string, lines_removed int")
+    got = rows(repeated_lines.remove_repeated_lines(df, summary).where("source_file in ('f0', 'g')").select("source_file", "text", "lines_removed"))
+    assert got == [("f0", "last words\nof f", 3), ("f0", "own a", 3)] + [("g", f"Seen in one file only\n{w}", 0) for w in "abcdef"]
 
 
 def test_removal_raises_the_summary(spark):
