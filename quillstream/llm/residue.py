@@ -13,12 +13,17 @@ from pyspark.sql import functions as F
 
 from quillstream.session import cut
 
-# The ways in which template languages mark a variable, as patterns with the variable's name in group 1.
-_NAME = r"[^\W\d_][\w.]*(?: [\w.]+){0,2}"
+# The signs by which template languages mark a variable, as patterns with the variable's name in group 1. They only say
+# where to look; whether a marked place is an unfilled slot is decided by aligning records.
+_NAME = r"[^\W\d_][\w.-]*(?: [\w.]+){0,2}"
+_FILTERS = r"(?:\s*\|[^{}\n|]{1,40}){0,3}"
 STYLES = {
-    "double brace": r"\{\{\s*(" + _NAME + r")(?:\s*\|\s*\w+)?\s*\}\}",
-    "dollar brace": r"\$\{\s*(" + _NAME + r")\s*\}",
-    "brace": r"(?<![{$])\{\s*(" + _NAME + r")\s*\}(?!\})",
+    "double brace": r"\{\{\s*(" + _NAME + r")" + _FILTERS + r"\s*\}\}",
+    "statement": r"\{[%#]-?\s*(" + _NAME + r")" + _FILTERS + r"\s*-?[%#]\}",
+    "dollar brace": r"\$\{\s*(" + _NAME + r")(?::?-[^{}\n]{0,40})?\s*\}",
+    "merge brace": r"\{!\s*(" + _NAME + r")\s*\}",
+    "brace": r"(?<![{$])\{\s*(" + _NAME + r"|\d{1,2})\s*(?::[^{}\n]{0,20})?\}(?!\})",
+    "star pipe": r"\*\|(" + _NAME + r")(?::[^|\n]{1,20})?\|\*",
     "tag": r"<%=?\s*(" + _NAME + r")\s*%>",
     "double angle": r"<<\s*(" + _NAME + r")\s*>>",
     "angle": r"(?<![<])<(" + _NAME + r")>(?!>)",
@@ -29,16 +34,20 @@ STYLES = {
     "at": r"@@(" + _NAME + r")@@",
     "hash": r"#(" + _NAME + r")#",
     "percent": r"%(" + _NAME + r")%",
+    "format": r"%\((" + _NAME + r")\)[sdif]",
     "dollar": r"\$(" + _NAME + r")\$",
+    "shell": r"(?<![\w$])\$([A-Za-z_][\w.]*\w)(?![\w$])",
     "underscores": r"(?<!_)__(" + r"[^\W\d_][A-Za-z.]*(?:[_ ][A-Za-z.]+){0,2}" + r")__(?!_)",
+    "default": r"(?<![\w/.-])(null|NULL|undefined|NaN|N/A|n/a|[Xx]{3,8}|\[object Object\])(?![\w/-])",
+    "blank": r"([\[({<«]\s{0,3}[\])}>»]|\"\s{0,3}\")",
 }
 # The words of the customary Latin filler.
 FILLER_WORDS = frozenset(
     "lorem ipsum dolor sit amet consectetur adipiscing elit sed do eiusmod tempor incididunt ut labore et dolore magna aliqua enim ad minim veniam quis nostrud exercitation ullamco laboris nisi aliquip ex ea commodo consequat duis aute irure in reprehenderit voluptate velit esse cillum eu fugiat nulla pariatur excepteur sint occaecat cupidatat non proident sunt culpa qui officia deserunt mollit anim id est laborum".split()
 )
 _MARK = re.compile("|".join(f"(?:{p})" for p in STYLES.values()))
-_HINT = r"[{}<>«»\[\]@#%$]|__"
-_VARIABLE = re.compile(r"\w_\w|\w\.\w|[a-z][A-Z]")
+_HINT = r"[{}<>«»\[\]@#%$]|__|\*\||\(\s*\)|\"\s{0,3}\"|\b(?:null|NULL|undefined|NaN|N/A|n/a|[Xx]{3,8})\b"
+_VARIABLE = re.compile(r"\w[_.-]\w|[a-z][A-Z]")
 _WORD = re.compile(r"[^\W\d_]+")
 _TOKEN = re.compile(r"[^\W\d_]+|\d+(?:[.,/:-]\d+)*")
 #: Words on each side that make a place, and the most words and characters of a value.
@@ -46,10 +55,14 @@ SIDE, VALUE_WORDS, VALUE_CHARS = 3, 8, 80
 #: Bits of each filter through which texts are read for values; fuller filters let more places through to the join, nothing else.
 FILTER_BITS = 1 << 24
 _START, _END = "\x02", "\x03"
-# Styles that editors and markup use as well, and tags that stand without a closing one.
-_LOOSE = ("bracket", "angle")
+# Styles that editors, markup and forms use as well, and tags that stand without a closing one.
+_LOOSE = ("bracket", "angle", "default", "blank")
+# Styles that nothing but templates use, whatever the name.
+_STRICT = ("double brace", "statement", "dollar brace", "merge brace", "star pipe", "tag", "format")
 _SINGLE_TAGS = frozenset("br hr p li img input".split())
 _EDGE = 200
+_SENTENCE_END = re.compile(r"[.!?।:;](?=\s)|\n")
+_SLOT_WORDS = re.compile(r"(?:[^\W\d_]*\d[\w.,/:-]*|[A-Z]\w*)(?:\W+(?:\w*\d[\w.,/:-]*|[A-Z]\w*))*")
 
 
 class _Numbers(dict):
@@ -100,6 +113,24 @@ def _sides(text: str, start: int, end: int, last: int, following: int) -> tuple[
     return left[-SIDE:], right[:SIDE]
 
 
+def _hash(text: str) -> int:
+    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True)
+
+
+def _frames(text: str, start: int, end: int) -> tuple[int, int, int | None]:
+    """(sentence, wording, beside): hashes of a marker's sentence with figures and capital words as one slot, of that sentence as it
+    stands, and of the lines before and after the marker's with their slots masked, null where the text is that line alone."""
+    low = max((m.end() for m in _SENTENCE_END.finditer(text, max(0, start - 2000), start)), default=max(0, start - 2000))
+    after = _SENTENCE_END.search(text, end)
+    sentence = text[low:start] + " \x00 " + text[end : after.start() if after else len(text)]
+    sentence = " ".join(sentence.split())
+    first, last = text.rfind("\n", 0, start), text.find("\n", end)
+    before = text[text.rfind("\n", 0, first) + 1 : first] if first > 0 else _START
+    beyond = text[last + 1 :].split("\n", 1)[0] if last >= 0 else _END
+    beside = None if (before, beyond) == (_START, _END) else _hash(_SLOT_WORDS.sub("#", before) + "\x00" + _SLOT_WORDS.sub("#", beyond))
+    return _hash(_SLOT_WORDS.sub("#", sentence)), _hash(sentence), beside
+
+
 def _markers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     styles = list(STYLES)
     numbers = _Numbers()
@@ -120,15 +151,17 @@ def _markers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     place = [int(x.view(np.int64)[0]) for x in (before, after, _mix(before, after))]
                 tag = style == "angle" and (name.lower() in _SINGLE_TAGS or f"</{name}>" in text) or style == "bracket" and text[m.end() : m.end() + 1] == "("
                 firm = real >= (4 if style in _LOOSE else 2) and not tag
-                out.append((k, style, name, " ".join(left).lower(), " ".join(right).lower(), bool(_VARIABLE.search(name)), *place, firm, _value_hash(name, numbers)))
-        cols = list(zip(*out, strict=True)) or [()] * 11
+                variable = style in _STRICT or bool(_VARIABLE.search(name))
+                out.append((k, style, name, " ".join(left).lower(), " ".join(right).lower(), variable, *place, firm, _value_hash(name, numbers), *_frames(text, m.start(), m.end())))
+        cols = list(zip(*out, strict=True)) or [()] * 14
         names = ("style", "name", "before", "after")
         yield pa.RecordBatch.from_pydict(
             {c: batch.column(c).take(pa.array(cols[0], pa.int64())) for c in ("id", "copy")}
             | {n: pa.array(c, pa.string()) for n, c in zip(names, cols[1:5], strict=True)}
             | {"variable": pa.array(cols[5], pa.bool_())}
             | {n: pa.array(c, pa.int64()) for n, c in zip(("left", "right", "place"), cols[6:9], strict=True)}
-            | {"firm": pa.array(cols[9], pa.bool_()), "value": pa.array(cols[10], pa.int64())}
+            | {"firm": pa.array(cols[9], pa.bool_())}
+            | {n: pa.array(c, pa.int64()) for n, c in zip(("value", "sentence", "wording", "beside"), cols[10:], strict=True)}
         )
 
 
@@ -190,9 +223,10 @@ def open_slots(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     """(key, style, name, before, after): slots that kept a variable in place of a value.
 
     Marked names are aligned by the words on both sides, which same-template records share, with each other and with the values that
-    any text has between these words. A place where the records differ is a slot; a place that holds the very same marker in each
-    of two or more different records and a value in none belongs to the template's own words (a text that explains markers), and is
-    no slot. A name counts where the corpus marks it in two styles or more, where it looks like a variable (customer_name,
+    any text has between these words. A place where the records differ is a slot. A place that holds the very same marker in each
+    of two or more different records, and a value in none, is a slot where these are records of one template: where they
+    fill another slot of the same sentence (figures and capital words) in different ways, or stand between the same lines, slots masked.
+    Else it belongs to the words of a text that explains markers, and is no slot. A name counts where its style is one that nothing but templates use,  where the corpus marks it in two styles or more, where it looks like a variable (customer_name,
     branchName, agent.code), or where other texts have two values or more at its place, none of them the name itself, and none
     goes on there without any; places that others leave out must be the fewer ones of a name. So an editor's [sic] or [the] is none.
 
@@ -202,16 +236,19 @@ def open_slots(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     """
     kind = df.schema[key].dataType.simpleString()
     rows = df.select(F.col(f"`{key}`").alias("id"), F.xxhash64(f"`{text}`").alias("copy"), F.col(f"`{text}`").alias("text")).where(F.col("text").rlike(_HINT))
-    marks = rows.mapInArrow(_markers, f"id {kind}, copy long, style string, name string, before string, after string, variable boolean, left long, right long, place long, firm boolean, value long").distinct()
+    marks = rows.mapInArrow(_markers, f"id {kind}, copy long, style string, name string, before string, after string, variable boolean, left long, right long, place long, firm boolean, value long, sentence long, wording long, beside long").distinct()
     marks = cut(marks)  # the marked places only
     names = marks.groupBy("name").agg((F.max(F.col("variable").cast("int")) + F.when(F.min("style") != F.max("style"), 1).otherwise(0)).alias("signs")).where("signs > 0")
     place = marks.groupBy("before", "after").agg(
         F.when(F.min("copy") != F.max("copy"), F.lit(True)).otherwise(F.lit(False)).alias("many"),
         (F.min(F.struct("style", "name")) == F.max(F.struct("style", "name"))).alias("constant"),
     )
-    own = place.where("many and constant").select("before", "after", F.lit(True).alias("own"))
+    # records of one template differ in the other slots of the marker's sentence, or have the same lines around it
+    frames = marks.groupBy("before", "after", "sentence").agg((F.min("wording") != F.max("wording")).alias("varied")).where("varied").select("before", "after")
+    beside = marks.where("beside is not null").groupBy("before", "after", "beside").agg((F.min("copy") != F.max("copy")).alias("again")).where("again").select("before", "after")
+    own = place.where("many and constant").select("before", "after").join(frames.unionByName(beside), ["before", "after"], "left_anti").withColumn("own", F.lit(True))
     judged = marks.join(names.withColumn("signed", F.lit(True)), "name", "left").join(own, ["before", "after"], "left")
-    judged = cut(judged.withColumn("signed", F.coalesce("signed", F.lit(False))).withColumn("own", F.coalesce("own", F.lit(False))).drop("signs", "copy"))
+    judged = cut(judged.withColumn("signed", F.coalesce("signed", F.lit(False))).withColumn("own", F.coalesce("own", F.lit(False))).drop("signs", "copy", "sentence", "wording", "beside"))
     sure, doubt = judged.where("signed and not own"), judged.where("(own and signed) or (firm and not signed)")
     open_ = doubt.where("place is not null").select("left", "right", "place").distinct()
     filters = df.sparkSession.sparkContext.broadcast([_filter(open_, c) for c in ("left", "right", "place")])
@@ -245,38 +282,43 @@ def _filler(skeleton):
     return F.transform(F.array(F.split(F.trim(F.regexp_replace(skeleton, r"[^\p{L}\p{M}]+", " ")), " ")), judge)[0]
 
 
-def _lines(df: DataFrame, key: str, text: str) -> DataFrame:
-    """(id, chars, name, heading-like, menu, filler): each distinct line of each document, with digits masked."""
-    body = df.where(F.col(f"`{text}`").isNotNull()).select(F.col(f"`{key}`").alias("id"), F.xxhash64(f"`{text}`").alias("copy"), F.length(f"`{text}`").alias("chars"), F.array_distinct(_skeletons(F.col(f"`{text}`"))).alias("all"))
-    body = body.select("id", "copy", "chars", F.explode_outer("all").alias("s")).where("s <> ''")
+#: Lines of four short parts or more; they don't count where a text's length is measured.
+_MENU = r"(?m)^(?:[^|\n]{1,25}\|){3,}[^|\n]{1,25}$"
+
+
+def _lines(df: DataFrame, key: str, text: str, source: str) -> DataFrame:
+    """(id, source, chars, name, heading-like, menu, filler): each distinct line of each document, with digits masked."""
+    body = df.where(F.col(f"`{text}`").isNotNull()).select(F.col(f"`{key}`").alias("id"), (F.xxhash64(f"`{source}`") if source in df.columns else F.lit(0)).alias("source"), F.xxhash64(f"`{text}`").alias("copy"), F.length(F.regexp_replace(f"`{text}`", _MENU, "")).alias("chars"), F.array_distinct(_skeletons(F.col(f"`{text}`"))).alias("all"))
+    body = body.select("id", "source", "copy", "chars", F.explode_outer("all").alias("s")).where("s <> ''")
     items = F.size(F.split("s", r" ?\| ?"))
     head = (F.length("s") <= 60) & ~F.col("s").rlike(r"[.!?।:;]$")
-    return body.select("id", "copy", "chars", F.xxhash64("s").alias("name"), head.alias("head"), ((items >= 4) & (F.length("s") <= 25 * items)).alias("menu"), _filler(F.col("s")).alias("filler"))
+    return body.select("id", "source", "copy", "chars", F.xxhash64("s").alias("name"), head.alias("head"), ((items >= 4) & (F.length("s") <= 25 * items)).alias("menu"), _filler(F.col("s")).alias("filler"))
 
 
-def page_templates(df: DataFrame, key: str = "doc_id", text: str = "text", short: int = 400, share: float = 0.3, copies: int = 6) -> DataFrame:
-    """(name, kind, documents): lines, with digits masked, that repeat over documents.
+def page_templates(df: DataFrame, key: str = "doc_id", text: str = "text", short: int = 400, share: float = 0.3, source: str = "source", line: int = 120) -> DataFrame:
+    """(name, kind, documents): lines, with digits masked, that repeat over different texts.
 
-    kind is `page` where a line stands for a whole page: of the documents that hold it, `share` or more (two of them not
-    counted) are no longer than `short` characters; error messages, notices and fillers come that way, while a real sentence
-    that happens to recur stands in documents of all lengths. A text that comes under fewer than `copies`
-    keys counts once, as it is a document and its copies; one that comes oftener is a page of its own kind and counts each time. Kind `heading` has other repeated short lines without a full stop.
+    kind is `page` where a line stands for a whole page: of the texts that hold it, `share` or more (two of them not
+    counted) have no more than `short` characters beside their menus; error messages, notices and fillers come that way, while a real
+    sentence that happens to recur stands in texts of all lengths. Equal texts count once, however many keys they have, so copies of a
+    document make no template; one of at most `line` characters counts once for each `source` that has it, as several
+    sites come to the same line by a template only. Kind `heading` has other repeated short lines without a full stop.
     """
-    return _templates(_lines(df, key, text), short, share, copies)
+    return _templates(_lines(df, key, text, source), short, share, line)
 
 
-def _templates(lines: DataFrame, short: int, share: float, copies: int) -> DataFrame:
-    texts = lines.where("not filler").groupBy("name", "copy").agg(F.max("chars").alias("chars"), F.max("head").alias("head"), F.count("*").alias("copies"))
-    often = F.when(F.col("copies") >= copies, F.col("copies")).otherwise(1)
-    seen = texts.groupBy("name").agg(F.sum(often).alias("documents"), F.sum(F.when(F.col("chars") <= short, often).otherwise(0)).alias("tiny"), F.max("head").alias("head"))
+def _templates(lines: DataFrame, short: int, share: float, line: int) -> DataFrame:
+    once = F.when(F.col("chars") > line, F.lit(0)).otherwise(F.col("source"))
+    texts = lines.where("not filler").groupBy("name", "copy", once.alias("of")).agg(F.max("chars").alias("chars"), F.max("head").alias("head"))
+    seen = texts.groupBy("name").agg(F.count("*").alias("documents"), F.sum(F.when(F.col("chars") <= short, 1).otherwise(0)).alias("tiny"), F.max("head").alias("head"))
     kind = F.when(F.col("tiny") - 2 >= share * F.col("documents"), "page").when(F.col("head"), "heading")
     return seen.where("documents >= 3").select("name", kind.alias("kind"), "documents").where("kind is not null")
 
 
-def empty_pages(df: DataFrame, key: str = "doc_id", text: str = "text", short: int = 400, share: float = 0.3, copies: int = 6) -> DataFrame:
+def empty_pages(df: DataFrame, key: str = "doc_id", text: str = "text", short: int = 400, share: float = 0.3, source: str = "source", line: int = 120) -> DataFrame:
     """(key) of the documents of which every line is a page template, filler, a heading or a menu, and at least one is not of the latter two."""
-    lines = cut(_lines(df, key, text))  # a few numbers a line, read twice
-    lines = lines.join(_templates(lines, short, share, copies), "name", "left")
+    lines = cut(_lines(df, key, text, source))  # a few numbers a line, read twice
+    lines = lines.join(_templates(lines, short, share, line), "name", "left")
     bad = F.col("filler") | F.coalesce(F.col("kind") == "page", F.lit(False))
     fine = bad | F.col("menu") | F.coalesce(F.col("kind") == "heading", F.lit(False))
     return lines.groupBy("id").agg(F.bool_and(fine).alias("all"), F.bool_or(bad).alias("any")).where("all and any").select(F.col("id").alias(key))

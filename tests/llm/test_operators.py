@@ -375,6 +375,28 @@ def test_slots_that_other_records_fill(spark):
     assert sorted({r["doc_id"] for r in residue.open_slots(df).collect()}) == [10, 11, 12]
 
 
+def test_records_of_one_template_that_all_kept_a_marker(spark):
+    docs = [(i, f"Dear {{{{customer_name}}}}, your policy KL-{100 + i} falls due on {i + 3} May.") for i in range(5)]
+    docs += [(10 + i, f"Notice of {t}\nPlease pay {{{{amount}}}} in time.\nYours, the branch manager") for i, t in enumerate(("Rain", "Snow", "Hail"))]
+    docs += [(20 + i, f"{t} is the word.\nLetters hold markers such as {{{{due_date}}}} for values.\nSo much for {t}.") for i, t in enumerate(("Rain", "snow now", "all hail and more"))]
+    df = spark.createDataFrame([*docs, docs[0]], "doc_id long, text string")
+    assert sorted({r["doc_id"] for r in residue.open_slots(df).collect()}) == [0, 1, 2, 3, 4, 10, 11, 12]
+
+
+@pytest.mark.parametrize("marker", ["{{customer-name}}", "{{ x | default('y') }}", "{!Contact.FirstName}", "*|FNAME|*", "{0}", "%(amount)s", "$name", "N/A", "( )", "undefined"])
+def test_markers_of_many_kinds(spark, marker):
+    letter = "The sum of the policy is paid to {} at the branch of the town by the first of May."
+    docs = [(i, letter.format(n)) for i, n in enumerate(("Ranvika Rao", "Ode", "Tam Lin", "Ines"))] + [(9, letter.format(marker))]
+    assert {r["doc_id"] for r in residue.open_slots(spark.createDataFrame(docs, "doc_id long, text string")).collect()} == {9}
+
+
+def test_copies_of_a_real_document_are_no_template(spark):
+    text = "Grace period\nThe insurer shall keep a copy of the claim form with the papers of the branch for ten years from the day on which it came in."
+    docs = [(i, text, f"s{i % 7}") for i in range(40)] + [(100 + i, "Please switch scripts on to see this page.", f"s{i}") for i in range(6)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, source string")
+    assert {r["doc_id"] for r in residue.empty_pages(df).collect()} == set(range(100, 106))
+
+
 def test_pages_of_nothing_but_residue(spark):
     pick = random.Random(2)
     prose = [" ".join(pick.choices(WORDS, k=25)).capitalize() + "." for _ in range(60)]
