@@ -95,6 +95,33 @@ def test_runs_of_a_mixed_page(spark):
     assert not {("e", 0), ("l", 0), ("s", 0)} & case
 
 
+FOREIGN = {
+    "tamil": "காப்பீட்டு நிறுவனம் முடிவை எழுத்துப்பூர்வமாக தெரிவிக்க வேண்டும். முப்பது நாட்களுக்குள் பதில் அளிக்க வேண்டும்.",
+    "russian": "Страховщик обязан уведомить застрахованное лицо в письменной форме о принятом решении в течение тридцати дней.",
+    "chinese": "保险公司应当在三十日内以书面形式通知被保险人有关决定。被保险人应当及时提供证明材料。",
+    "french": "Le contrat d'assurance prévoit que le bénéficiaire doit informer la compagnie dans un délai de trente jours à compter de la date du décès de l'assuré.",
+    "letters": "qzv wxkjq vbnzr tplkj mnbvc xzlkq wrtpg hjklz vcxbn qwrtz plkmn jhgfd",
+    "gothic": "𐌰𐍄𐍄𐌰 𐌿𐌽𐍃𐌰𐍂 𐌸𐌿 𐌹𐌽 𐌷𐌹𐌼𐌹𐌽𐌰𐌼 𐍅𐌴𐌹𐌷𐌽𐌰𐌹 𐌽𐌰𐌼𐍉 𐌸𐌴𐌹𐌽",
+}
+
+
+def test_other_languages_are_rejected(spark):
+    df = labelled(spark)
+    english = "The nominee shall keep a copy of the policy with the papers of the branch."
+    made = [(k, v) for k, v in FOREIGN.items()] + [("part", f"{english}\n{FOREIGN['russian']}\n{FOREIGN['russian']}\n{english}")]
+    extra = spark.createDataFrame(made, "page_id string, text string")
+    got = {(r["page_id"], r["line_no"]): r["lang"] for r in languages.assign_languages(extra, languages.fit_on(df)).collect()}
+    assert all(got[(k, 0)] == "Unknown" for k in FOREIGN)
+    assert {k[1]: v for k, v in got.items() if k[0] == "part"} == {0: "English", 1: "English", 2: "Unknown", 4: "English"}
+
+
+def test_languages_come_from_the_labels(spark):
+    texts = {"ru": FOREIGN["russian"], "ta": FOREIGN["tamil"]}
+    df = spark.createDataFrame([(f"{k}{i}", v, k) for k, v in texts.items() for i in range(5)], "page_id string, text string, language string")
+    model = languages.fit_on(df, labels={"ru": "Russian", "ta": "Tamil"})
+    assert {(r["page_id"][:2], r["lang"]) for r in languages.assign_languages(df, model).collect()} == {("ru", "Russian"), ("ta", "Tamil")}
+
+
 def test_no_labelled_rows(spark):
     df = spark.createDataFrame([], "page_id string, text string, language string")
     assert rows(languages.wrong_labels(df)) == []
