@@ -68,6 +68,10 @@ def p7_found(spark: SparkSession, folder: str) -> DataFrame:
     return p7_report(spark, folder).where("short").select("source")
 
 
+def p7_mixed(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mixed_records(table(spark, folder, "documents"), table(spark, folder, "mix_targets"))
+
+
 # A token of a byte-level BPE is about four letters here; no source is near the limit, so this measure gives the same sources.
 P7_FOUND_SQL = """
 WITH sizes AS (SELECT source, sum(strlen(coalesce(text, ''))) AS n FROM documents WHERE trim(source) <> '' GROUP BY source),
@@ -122,6 +126,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p5_pieces": p5_pieces,
     "p7_found": p7_found,
     "p7_report": p7_report,
+    "p7_mixed": p7_mixed,
     "p8_found": p8_found,
     "p8_kept": p8_kept,
     "p6_found": p6_found,

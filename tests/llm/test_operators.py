@@ -370,6 +370,32 @@ def test_rates_reach_targets_or_their_caps(spark):
     assert all(0 <= r["repeats"] <= r["max_repeats"] for r in got.values())
 
 
+def test_shares_of_sources_that_are_not_short(spark):
+    folder = "/root/testdata/sf0.01"
+    df, targets = spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/mix_targets.parquet")
+    got = mixing.mix_report(df, targets).collect()
+    assert {r["short"] for r in got} == {True, False}
+    assert all(r["goal_share"] == pytest.approx(r["target_share"], rel=0.01) for r in got if not r["short"])
+    assert all(r["repeats"] == pytest.approx(r["max_repeats"]) or not r["documents"] for r in got if r["short"])
+    assert 0.97 < sum(r["reached_share"] for r in got) <= 1
+    mixed = mixing.mixed_records(df, targets)
+    taken = {r["source"]: r["n"] for r in mixed.groupBy("source").agg({"tokens": "max"}).withColumnRenamed("max(tokens)", "n").collect()}
+    assert taken and {r["source"] for r in got if r["documents"]} <= set(taken)
+    limits = {r["source"]: r["max_repeats"] for r in got}
+    assert all(1 <= r["repeats"] <= limits.get(r["source"], 99) for r in mixed.collect())
+
+
+def test_posteriors_follow_text_and_label():
+    log_p = np.log(np.full((2, mixing.BUCKETS), 1e-6))
+    log_p[0, 5] = log_p[1, 9] = np.log(0.9)
+    model = mixing.Membership(log_p, np.array([True, True]))
+    p = model.posteriors([[5, 5], [9], [], [9], []], np.array([-1, -1, -1, 0, 1]), 0.98)
+    assert p[0, 0] > 0.99 and p[1, 1] > 0.99 and p[2, 0] == pytest.approx(0.5)
+    assert p[3, 1] > 0.99 and p[4, 1] == pytest.approx(0.98)
+    unknown = mixing.Membership(log_p, np.array([True, False]))
+    assert unknown.posteriors([[9], [9]], np.array([1, -1]), 0.98).tolist() == [[0.0, 1.0], [1.0, 0.0]]
+
+
 def test_no_documents_or_targets(spark):
     none = spark.createDataFrame([], "doc_id long, text string, source string")
     targets = spark.createDataFrame([("a", 1.0, 2)], "source string, target_share double, max_repeats int")
