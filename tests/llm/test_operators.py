@@ -319,6 +319,14 @@ def test_words_replaced_after_runs_of_four_and_three(spark):
     assert [r[:4] for r in rows(found)] == [(1, 7, 35, 45)]
 
 
+def test_short_passages_and_scripts_without_blanks(spark):
+    chinese = "保险公司应当在三十日内以书面形式通知被保险人有关决定"
+    docs = [(1, f"前言。{chinese}，此后不再另行通知。"), (2, f"其他内容{chinese[:16]}等等"), (3, f"其他内容{chinese[:6]}等等"), (4, "he said two words and left"), (5, "two or more words"), (6, "grace"), (7, "one two three four")]
+    items = [(1, chinese), (2, "Two words."), (3, "GRACE"), (4, "two, three: four"), (5, "four five six")]
+    df, test = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, passage string")
+    assert [r[:2] for r in rows(leakage.leaked_passages(df, test))] == [(1, 1), (2, 1), (4, 2), (6, 3), (7, 4)]
+
+
 def test_blocks_of_passages_and_shards_change_nothing(spark, monkeypatch):
     folder = "/root/testdata/sf0.001"
     df, items = spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/eval_items.parquet")
