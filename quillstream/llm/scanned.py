@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from difflib import SequenceMatcher
 
@@ -15,6 +16,8 @@ from quillstream.session import cut
 MARKER = re.compile(r"--- PAGE (\d+) ---\s*\Z")
 #: Lines looked at on each edge of a page, the likeness of running lines, and the most lines that a cover page has.
 EDGE, LIKE, COVER = 3, 0.8, 5
+#: A page is compared with so many before and behind it, so a file's cost grows with its pages only; and a page number may be one of so many in a row.
+NEAR, ROW = 24, 3
 HYPHENS = "-‐­¬"
 # What scanners read in place of what, as (seen, meant).
 CONFUSIONS = (
@@ -65,8 +68,9 @@ def layout(text: str, title: str = "") -> list[tuple[int, int, str, str]]:
     """(line number, page, kind, line) of each line but the page markers and blank lines; kind is body, edge, header, page_number or
     cover, where edge lines are body lines outermost on a page.
 
-    A page number has a label, or its value less the page's place is the same on two pages or more, or, in a file without
-    such pages, it stands alone on the very edge with no other number beside it. A header or footer is a line on a page's edge whose letters come again, about the same, on the same edge of another page, or
+    A page number has a label, or its value less the page's place is the same on 40 % of the NEAR pages on each side (two at least) or
+    on ROW pages in a row, or, in a file without such pages, it stands alone on the very edge with no other number beside it. A header or
+    footer is a line on a page's edge whose letters come again, about the same, on the same edge of 34 % of the NEAR pages on each side, or
     are those of the file's title.
     """
     pages: list[list[tuple[int, str]]] = [[]]
@@ -93,13 +97,20 @@ def layout(text: str, title: str = "") -> list[tuple[int, int, str, str]]:
             elif len(squashed) <= 16 and (m := _BARE.match(squashed)) and (v := _value(m[1])) is not None:
                 bare.append((place, n, v))
                 offsets.setdefault(v - place, set()).add(place)
-    settled = {o for o, pages_ in offsets.items() if len(pages_) >= 2 and len(pages_) >= 0.4 * len(body)}
+    settled: set[tuple[int, int]] = set()  # (offset, place)
+    for o, pages_ in offsets.items():
+        places = sorted(pages_)
+        for i, at in enumerate(places):
+            near = bisect_right(places, at + NEAR) - bisect_left(places, at - NEAR)
+            row = {k for k in range(max(0, i - ROW + 1), i + 1) if k + ROW <= len(places) and places[k + ROW - 1] - places[k] == ROW - 1}
+            if row or near >= 2 and near >= 0.4 * (min(len(body), at + NEAR + 1) - max(0, at - NEAR)):
+                settled.add((o, at))
     for place, n, v in bare:
         edge = edges[place]
         at = next(i for i, (_, m, _) in enumerate(edge) if m == n)
         near = [x for k, _, x in edge if abs(k - edge[at][0]) == 1 and (k < 0) == (edge[at][0] < 0)]
         alone = edge[at][0] in (0, -1) and _ALONE.match(edge[at][2].strip()) and len(body[place]) > COVER and not any(_BARE.match(x.strip()) for x in near)
-        if v - place in settled or alone and not settled:
+        if (v - place, place) in settled or alone and not settled:
             kind[n] = "page_number"
     heading = _letters(re.sub(r"\.\w+\Z", "", re.sub(r"\A[A-Z]+ \d+ ", "", title)))
     able = {n for edge in edges for _, n, x in edge if _running(x)}
@@ -111,7 +122,10 @@ def layout(text: str, title: str = "") -> list[tuple[int, int, str, str]]:
             for n, key in own:
                 if kind.get(n) == "page_number":
                     continue
-                if len(key) < 4 or n not in able or not (len(heading) >= 8 and _like(key, heading)) and sum(any(_like(key, other) for m, other in rest if kind.get(m) != "page_number") for p, rest in enumerate(keys) if p != place) < max(1, 0.34 * (len(body) - 1)):
+                titled = len(heading) >= 8 and _like(key, heading)
+                low, high = max(0, place - NEAR), min(len(keys), place + NEAR + 1)
+                again = titled or sum(any(_like(key, other) for m, other in keys[p] if kind.get(m) != "page_number") for p in range(low, high) if p != place) >= max(1, 0.34 * (high - low - 1))
+                if len(key) < 4 or n not in able or not again:
                     kind.setdefault(n, "edge")
                     break
                 kind[n] = "header"
@@ -131,6 +145,22 @@ def _bare_word(token: str) -> str:
     return token.strip(_EDGE_MARKS).lower()
 
 
+#: Between a file's name and the hash of its text, which together tell texts of one file apart.
+_GLUE, _NO_FILE = "\x00", "\x01"
+
+
+def _texts(df: DataFrame, file: str, text: str) -> DataFrame:
+    """(file, text): the rows, file being its name and the hash of its text. Equal rows have the same."""
+    name = F.concat(F.coalesce(F.col(f"`{file}`"), F.lit(_NO_FILE)), F.lit(_GLUE), F.coalesce(F.hex(F.xxhash64(F.col(f"`{text}`"))), F.lit("")))
+    return df.select(name.alias("file"), F.col(f"`{text}`").alias("text"))
+
+
+def _named(df: DataFrame, file: str) -> DataFrame:
+    """The result with the file's own name again."""
+    name = F.substring_index("file", _GLUE, 1)
+    return df.withColumn("file", F.when(name != _NO_FILE, name)).withColumnRenamed("file", file)
+
+
 def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (file, line_no, kind, edge, first, second, follows, words): the kind of a line, its key if it is a running line or outermost,
     the two parts where it ends in a broken word and the line of the second one, and its whole words."""
@@ -138,7 +168,7 @@ def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = []
         for k, (text, name) in enumerate(zip(batch.column("text").to_pylist(), batch.column("file").to_pylist(), strict=True)):
             body = []
-            for n, _, kind, x in layout(text, name or ""):
+            for n, _, kind, x in layout(text, name.split(_GLUE)[0]):
                 if kind in ("body", "edge"):
                     body.append((n, x.replace("\xa0", " "), _edge_key(x) if kind == "edge" else None))
                 elif kind != "cover":
@@ -231,10 +261,10 @@ def misread_words(words: DataFrame, often: int = 15, far: int = 300) -> DataFram
 def scan_lines(df: DataFrame, file: str = "file", text: str = "text") -> tuple[DataFrame, DataFrame]:
     """The lines of all distinct files, read from text once and kept in the checkpoint folder, and (file, line_no) of those body lines
     that are running lines after all: outermost ones that begin like the running lines of several files."""
-    rows = df.where(F.col(f"`{text}`").isNotNull()).select(F.col(f"`{file}`").alias("file"), F.col(f"`{text}`").alias("text")).distinct()
+    rows = _texts(df, file, text).where("text is not null").dropDuplicates(["file"])
     lines = cut(rows.mapInArrow(_lines, "file string, line_no int, kind string, edge string, first string, second string, follows int, words array<string>"))
-    known = lines.where("kind = 'header' and length(edge) >= 8").groupBy(F.col("edge").alias("known")).agg(F.count("*").alias("n"), F.min("file").alias("a"), F.max("file").alias("b")).where("n >= 4 and a <> b").select("known")
-    titles = rows.select(F.substring(F.regexp_replace(F.lower(F.regexp_replace("file", r"^[A-Z]+ \d+ ", "")), r"[^\p{L}]", ""), 1, 12).alias("known")).distinct()
+    known = lines.where("kind = 'header' and length(edge) >= 8").groupBy(F.col("edge").alias("known")).agg(F.count("*").alias("n"), F.min(F.substring_index("file", _GLUE, 1)).alias("a"), F.max(F.substring_index("file", _GLUE, 1)).alias("b")).where("n >= 4 and a <> b").select("known")
+    titles = _texts(df, file, text).select(F.substring(F.regexp_replace(F.lower(F.regexp_replace(F.substring_index("file", _GLUE, 1), r"^[A-Z]+ \d+ ", "")), r"[^\p{L}]", ""), 1, 12).alias("known")).distinct()
     known = known.join(titles, "known", "left_anti")  # a file's own title has been looked for in the file
     return lines, lines.where("kind = 'body' and edge is not null").join(known, F.col("edge") == F.col("known"), "left_semi").select("file", "line_no")
 
@@ -261,8 +291,8 @@ def _broken_words(lines: DataFrame, vocabulary: DataFrame) -> DataFrame:
 def scan_noise(df: DataFrame, file: str = "file", text: str = "text") -> DataFrame:
     """(file, line_no, kind): hyphen, misread, header and page_number lines of scanned files. A body line may have the first two.
 
-    Line numbers count every line, from 1. Equal rows count once; null and empty texts have no line; a file without page
-    markers is one page, on which no line can repeat.
+    Line numbers count every line, from 1. Equal rows count once; texts of one file are judged each, and a line is listed once; null and
+    empty texts have no line; a file without page markers is one page, on which no line can repeat.
     """
     lines, lone = scan_lines(df, file, text)
     vocabulary = cut(_vocabulary(lines))
@@ -274,7 +304,7 @@ def scan_noise(df: DataFrame, file: str = "file", text: str = "text") -> DataFra
     misread = words.join(bad, "word", "left_semi").select("file", "line_no").unionByName(_misread_parts(joined, bad)).distinct()
     hyphen = broken.select("file", "line_no", F.lit("hyphen").alias("kind"))
     inner = hyphen.unionByName(misread.withColumn("kind", F.lit("misread"))).join(lone, ["file", "line_no"], "left_anti")
-    return edge.unionByName(inner).withColumnRenamed("file", file)
+    return _named(edge.unionByName(inner), file).distinct()
 
 
 def _misread_parts(joined: DataFrame, bad: DataFrame) -> DataFrame:
@@ -353,6 +383,6 @@ def repair_scans(df: DataFrame, file: str = "file", text: str = "text") -> DataF
     ends = broken.groupBy("file").agg(F.collect_set("line_no").alias("broken"))
     words = lines.select("file", F.explode("words").alias("word")).join(_common(vocabulary, bad), "word", "left_anti").unionByName(joined)
     fixes = words.join(bad, "word").groupBy("file").agg(F.collect_set(F.struct("word", "fix")).alias("fixes"))
-    rows = df.select(F.col(f"`{file}`").alias("file"), F.col(f"`{text}`").alias("text")).distinct()
+    rows = _texts(df, file, text).dropDuplicates(["file"])
     whole = rows.join(gone, "file", "left").join(ends, "file", "left").join(fixes, "file", "left").select("file", "text", "gone", "broken", "fixes")
-    return whole.mapInArrow(_rebuilder, "file string, text string").withColumnRenamed("file", file)
+    return _named(whole.mapInArrow(_rebuilder, "file string, text string"), file)

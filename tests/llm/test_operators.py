@@ -226,6 +226,27 @@ def test_scan_noise(spark):
     assert "certificate" in text and "certifi-" not in text and "p0licy" not in text and "ACME LIFE" not in text and "Page 2" not in text and "trustee" in text
 
 
+def test_texts_of_one_file_are_repaired_each(spark):
+    data = scans(6)
+    other = "\n".join(f"--- PAGE {p} ---\n" + "\n".join(f"policy premium nominee branch certificate {w}" for w in ("assured", "trustee", "annuity", "surrender", "maturity", "policy", "branch")) for p in (1, 2, 3))
+    df = spark.createDataFrame([*data, (data[0][0], other)], "file string, text string")
+    got = [t for f, t in rows(scanned.repair_scans(df)) if f == data[0][0]]
+    assert len(got) == 2 and sum(t.count("certificate surrender") == 3 and t.count("policy premium") == 21 for t in got) == 1
+
+
+def test_long_files_take_their_pages_one_by_one():
+    import time
+
+    body = "\n".join(f"This is line {w} of it." for w in "abcdef")
+    chapters = [f"Of {w} and other matters" for w in ("storms", "ladders", "beehives", "quarries", "harbours")]
+    text = "\n".join(f"--- PAGE {i} ---\n{chapters[i // 40 % 5]}\n{body.replace('line', f'line {i * 7919 % 1000}')}\n{i - 8 if i > 9 else 'i' * (i % 4)}" for i in range(1, 401))
+    begun = time.time()
+    found = [k for _, _, k, x in scanned.layout(text) if x in chapters]
+    assert found == ["header"] * 400 and time.time() - begun < 20
+    numbers = [k for _, p, k, x in scanned.layout(text) if x.isdigit()]
+    assert set(numbers) == {"page_number"}
+
+
 def test_no_scans(spark):
     assert rows(scanned.scan_noise(spark.createDataFrame([], "file string, text string"))) == []
 
