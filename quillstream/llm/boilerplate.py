@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -28,17 +30,30 @@ _LETTER = re.compile(r"[^\W\d_]")
 _ENDS = ".!?।:"
 
 
+#: Types longer than this are known by a hash and their last sign.
+LONG = 300
+
+
 def _plain(line):
     """Column: a line as a type, without case, digits, bullets, and the marks that menus hang on."""
     x = F.trim(F.regexp_replace(F.lower(line), r"[\s\p{Z}]+", " "))
     x = F.regexp_replace(F.regexp_replace(x, r"\p{Nd}+", "#"), r"^[-*•·▪–] ", "")
-    return F.regexp_replace(F.regexp_replace(x, r" ?(?:\+|>|\(#\))$", ""), r"#(?:[/-]#){2}|# \p{L}{3,12} #", "#")
+    x = F.regexp_replace(F.regexp_replace(x, r" ?(?:\+|>|\(#\))$", ""), r"#(?:[/-]#){2}|# \p{L}{3,12} #", "#")
+    return F.when(F.length(x) <= LONG, x).otherwise(F.concat(F.sha2(x, 256), F.substring(x, -1, 1)))
 
 
 def plain(line: str) -> str:
     """The same for one line in a task."""
+    return _short_plain(line) if len(line) <= 100 else _any_plain(line)
+
+
+def _any_plain(line: str) -> str:
     x = _DIGITS.sub("#", " ".join(line.lower().split()))
-    return _DATE.sub("#", _TAIL.sub("", _BULLET.sub("", x)))
+    x = _DATE.sub("#", _TAIL.sub("", _BULLET.sub("", x)))
+    return x if len(x) <= LONG else hashlib.sha256(x.encode("utf-8", "surrogatepass")).hexdigest() + x[-1]
+
+
+_short_plain = lru_cache(maxsize=1 << 16)(_any_plain)  # menus and notices come again on page after page
 
 
 def _pages(texts: DataFrame, manifest: DataFrame) -> DataFrame:
@@ -53,7 +68,7 @@ def line_types(pages: DataFrame) -> DataFrame:
     """(type, pages, label): lines, and parts of lines with separators, that are frequent in the corpus or on a host; label tells that pages have it as title or part of one."""
     lines = F.split("text", "\n")
     parts = F.flatten(F.transform(lines, lambda x: F.when(x.rlike(_SPLIT), F.concat(F.array(x), F.split(F.trim(x), _SPLIT))).otherwise(F.array(x))))
-    each = pages.select("host", F.explode(F.array_distinct(F.filter(F.transform(parts, _plain), lambda x: x.rlike(r"\p{L}") & (F.length(x) <= 300)))).alias("type"))
+    each = pages.select("host", F.explode(F.array_distinct(F.filter(F.transform(parts, _plain), lambda x: x.rlike(r"\p{L}")))).alias("type"))
     by_host = each.groupBy("type", "host").agg(F.count("*").alias("n"))
     sizes = pages.groupBy(F.col("host").alias("h")).agg(F.count("*").alias("size"))
     whole = pages.count()
@@ -63,6 +78,7 @@ def line_types(pages: DataFrame) -> DataFrame:
     return often.join(heads, F.col("type") == F.col("t"), "left").select("type", "pages", F.col("t").isNotNull().alias("label"))
 
 
+@lru_cache(maxsize=1 << 16)
 def _is_row(line: str) -> bool:
     """A table's row: two parts or more, at least half of them a number with little beside."""
     parts = [p for p in _SPLITTER.split(line.strip()) if p]
@@ -76,6 +92,7 @@ class Kinds:
         self.label = {t for t, _, label in types if label}
         self.link, self.body = set(), set()
         self.captions = captions
+        self._seen: dict[str, str] = {}
         heads = tuple(x + " " for x in self.label)
         for t, n, label in types:
             if not label:
@@ -84,6 +101,15 @@ class Kinds:
                 (self.body if item or said else self.link).add(t)
 
     def of(self, line: str) -> str:
+        if len(line) > 100:
+            return self._of(line)
+        if line not in self._seen:
+            if len(self._seen) > 1 << 16:
+                self._seen.clear()
+            self._seen[line] = self._of(line)
+        return self._seen[line]
+
+    def _of(self, line: str) -> str:
         key = plain(line)
         if key in self.label:
             return "label"
@@ -240,7 +266,7 @@ def content_lines(text: str, title: str, kinds: Kinds) -> list[tuple[int, bool]]
 
     The page's tree has lines as leaves (each part between separators is a tag) and, between them and the page, sections: the
     stretches that links don't interrupt. The section of the largest density sum gives the threshold, SLACK of the least density
-    on the way from it up to the page; content are the sections at or above it.
+    on the way from it up to the page; content are the sections at or above it. What is all link has no density.
     """
     rows = [(n, x) for n, x in enumerate(text.split("\n"), 1) if x.strip()]
     lines = [x for _, x in rows]
@@ -262,7 +288,7 @@ def content_lines(text: str, title: str, kinds: Kinds) -> list[tuple[int, bool]]
     content: set[int] = set()
     if best >= 0 and sums[best] > 0:
         threshold = min(measure(sections[best]), density(*total, total[0], total[2]))
-        content = {i for s in sections if settled[s[0]] == "body" and measure(s) >= SLACK * threshold for i in s}
+        content = {i for s in sections if measure(s) >= SLACK * threshold for i in s}
     return [(n, i in content) for i, (n, _) in enumerate(rows)]
 
 

@@ -50,6 +50,15 @@ def test_furniture_is_what_the_site_repeats(spark):
     assert main["f0.txt"].startswith("Grace period\n") and "Share" not in main["f0.txt"] and main["menu.txt"] == ""
 
 
+def test_long_notices_on_every_page(spark):
+    texts, manifest = site()
+    notice = "We use cookies to " + " ".join(WORDS * 4) + " and you may change your choice at any time by the link at the foot of the page."
+    assert len(notice) > boilerplate.LONG
+    t, m = pages(spark, [(f, f"{notice}\n{x}") for f, x in texts], manifest)
+    got = {(f, n) for f, n in rows(boilerplate.furniture_lines(t, m))}
+    assert all((f, 1) in got for f, _ in texts) and not any((f, 6) in got for f, _ in texts)
+
+
 def test_no_pages(spark):
     t, m = pages(spark, [], [])
     assert rows(boilerplate.furniture_lines(t, m)) == []
