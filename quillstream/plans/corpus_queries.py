@@ -24,9 +24,14 @@ def _pages(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "page_records")
 
 
+def _once(rows: DataFrame, key: str, *computed) -> DataFrame:
+    """`computed` for each different (key, text): worked out where the text is read, so that its hash is shuffled and not the text."""
+    return rows.select(key, F.xxhash64("text").alias("_text"), *computed).distinct().drop("_text")
+
+
 def page_text_stats(spark: SparkSession, folder: str) -> DataFrame:
-    p = _pages(spark, folder).select("page_id", "text").distinct()
-    return p.select("page_id", F.length("text").alias("chars"), T.word_count(F.col("text")).alias("words"), T.line_count(F.col("text")).alias("lines"), T.nonspace_length(F.col("text")).alias("nonspace"), F.sha2("text", 256).alias("text_hash"))
+    text = F.col("text")
+    return _once(_pages(spark, folder), "page_id", F.length(text).alias("chars"), T.word_count(text).alias("words"), T.line_count(text).alias("lines"), T.nonspace_length(text).alias("nonspace"), F.sha2("text", 256).alias("text_hash"))
 
 
 PAGE_TEXT_STATS = f"""
@@ -36,8 +41,8 @@ SELECT page_id, length(text) AS chars, CASE WHEN {_sq('text')} = '' THEN 0 ELSE
 
 
 def page_hash_check(spark: SparkSession, folder: str) -> DataFrame:
-    p = _pages(spark, folder).select("page_id", "text", "text_hash", "char_count").distinct()
-    return p.select("page_id", (F.sha2("text", 256) == F.col("text_hash")).alias("hash_ok"), (F.length("text") == F.col("char_count")).alias("length_ok"))
+    said = (F.col("text_hash").alias("_hash"), F.col("char_count").alias("_count"))
+    return _once(_pages(spark, folder), "page_id", *said, (F.sha2("text", 256) == F.col("text_hash")).alias("hash_ok"), (F.length("text") == F.col("char_count")).alias("length_ok")).drop("_hash", "_count")
 
 
 PAGE_HASH_CHECK = "WITH p AS (SELECT DISTINCT page_id, text, text_hash, char_count FROM page_records) SELECT page_id, sha256(text) = text_hash AS hash_ok, length(text) = char_count AS length_ok FROM p"
@@ -47,12 +52,11 @@ def spoken_forms(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "documents").select("doc_id", T.spoken_form(F.col("text")).alias("spoken"))
 
 
-SPOKEN_FORMS = f"SELECT doc_id, {_sq(chr(39) * 0 + 'regexp_replace(lower(text), ' + chr(39) + '[^' + chr(92) + 'p{L}' + chr(92) + 'p{N}_' + chr(92) + 's]' + chr(39) + ', ' + chr(39) + ' ' + chr(39) + ', ' + chr(39) + 'g' + chr(39) + ')')} AS spoken FROM documents"
+SPOKEN_FORMS = "SELECT doc_id, " + _sq(r"regexp_replace(lower(text), '[^\p{L}\p{N}_\s]', ' ', 'g')") + " AS spoken FROM documents"
 
 
 def script_labels(spark: SparkSession, folder: str) -> DataFrame:
-    p = _pages(spark, folder).select("page_id", "text").distinct()
-    return p.select("page_id", T.script_label(F.col("text")).alias("script"), T.two_script_label(F.col("text")).alias("two_script"))
+    return _once(_pages(spark, folder), "page_id", T.script_label(F.col("text")).alias("script"), T.two_script_label(F.col("text")).alias("two_script"))
 
 
 SCRIPT_LABELS = r"""
@@ -77,8 +81,7 @@ SELECT file, regexp_replace(regexp_replace(t, '\n{{4,}}', chr(10) || chr(10) ||
 
 
 def empty_pages(spark: SparkSession, folder: str) -> DataFrame:
-    p = _pages(spark, folder).select("page_id", "text").distinct()
-    return p.select("page_id", T.emptiness(F.col("text")).alias("kind"), T.analysable(F.col("text")).alias("analysable")).where("kind is not null")
+    return _once(_pages(spark, folder), "page_id", T.emptiness(F.col("text")).alias("kind"), T.analysable(F.col("text")).alias("analysable")).where("kind is not null")
 
 
 EMPTY_PAGES = f"""
@@ -87,8 +90,7 @@ SELECT page_id, CASE WHEN n = 0 THEN 'empty_page' ELSE 'near_empty_page' END AS
 
 
 def extraction_anomalies(spark: SparkSession, folder: str) -> DataFrame:
-    r = table(spark, folder, "raw_text").distinct()
-    return r.select("file", F.regexp_count("text", F.lit(r"\x{FFFD}")).alias("replaced"), F.size(T.anomalies(F.col("text"))).alias("kinds")).where("kinds > 0")
+    return _once(table(spark, folder, "raw_text"), "file", F.regexp_count("text", F.lit(r"\x{FFFD}")).alias("replaced"), F.size(T.anomalies(F.col("text"))).alias("kinds")).where("kinds > 0")
 
 
 EXTRACTION_ANOMALIES = r"""
@@ -98,14 +100,12 @@ SELECT file, CAST(a AS INTEGER) AS replaced, CAST((a > 0)::INT + (b > 0)::INT +
 
 
 def page_headings(spark: SparkSession, folder: str) -> DataFrame:
-    p = _pages(spark, folder).select("page_id", "text").distinct()
-    found = p.select("page_id", P.headings(F.col("text")).alias("h"), P.section(F.col("text")).alias("section"))
+    found = _once(_pages(spark, folder), "page_id", P.headings(F.col("text")).alias("h"), P.section(F.col("text")).alias("section"))
     return found.where(F.size("h") > 0).select("page_id", F.array_join("h", "|").alias("headings"), F.array_join(P.topics(F.col("h")), "|").alias("topics"), "section")
 
 
 def page_tables(spark: SparkSession, folder: str) -> DataFrame:
-    p = _pages(spark, folder).select("page_id", "text").distinct()
-    return p.select("page_id", P.table_signal(F.col("text")).alias("table_signal"))
+    return _once(_pages(spark, folder), "page_id", P.table_signal(F.col("text")).alias("table_signal"))
 
 
 PAGE_TABLES = r"""
@@ -117,8 +117,8 @@ SELECT page_id, CASE WHEN (num >= 12 AND num >= 0.35 * n) OR piped >= 3 THEN 'ta
 
 
 def page_forms(spark: SparkSession, folder: str) -> DataFrame:
-    p = _pages(spark, folder).select("page_id", "text").distinct()
-    return p.select("page_id", P.form_signal(F.col("text")).alias("form_signal"), P.form_evidence(F.col("text")).alias("e")).select("page_id", "form_signal", "e.*")
+    found = _once(_pages(spark, folder), "page_id", P.form_evidence(F.col("text")).alias("e"))
+    return found.select("page_id", P.form_signal_of(F.col("e")).alias("form_signal"), "e.*")
 
 
 PAGE_FORMS = r"""
@@ -132,8 +132,8 @@ SELECT page_id, CASE WHEN b >= 3 OR (b >= 1 AND s >= 2) THEN 'form' WHEN b >= 1
 
 
 def page_keywords(spark: SparkSession, folder: str) -> DataFrame:
-    p = _pages(spark, folder).select("page_id", "text").distinct()
-    return p.select("page_id", F.explode_outer(P.keyword_hits(F.col("text"))).alias("keyword")).where("keyword is not null")
+    found = _once(_pages(spark, folder), "page_id", P.keyword_hits(F.col("text")).alias("hits"))
+    return found.select("page_id", F.explode_outer("hits").alias("keyword")).where("keyword is not null")
 
 
 PAGE_KEYWORDS = "WITH p AS (SELECT DISTINCT page_id, text FROM page_records), k AS (SELECT unnest([{}]) AS keyword) SELECT page_id, keyword FROM p, k WHERE regexp_matches(text, '(?i)\\b' || keyword || '\\b')".format(", ".join(f"'{k}'" for k in P.KEYWORDS))
@@ -150,13 +150,13 @@ def redacted_previews(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def content_kinds(spark: SparkSession, folder: str) -> DataFrame:
-    p = _pages(spark, folder).select("page_id", "text").distinct().withColumn("e", P.content_evidence(F.col("text")))
+    p = _once(_pages(spark, folder), "page_id", P.content_evidence(F.col("text")).alias("e"))
     return p.select("page_id", P.content_kind(F.col("e")).alias("kind"), F.array_join(F.transform("e", lambda e: e["basis"]), "|").alias("basis"))
 
 
 def plan_and_product_codes(spark: SparkSession, folder: str) -> DataFrame:
-    p = _pages(spark, folder).select("source_id", "text").distinct()
-    return p.select("source_id", F.explode_outer(F.concat(T.plan_numbers(F.col("text")), T.product_codes(F.col("text")))).alias("code")).where("code is not null").groupBy("source_id", "code").agg(F.count("*").alias("pages"))
+    p = _once(_pages(spark, folder), "source_id", F.concat(T.plan_numbers(F.col("text")), T.product_codes(F.col("text"))).alias("codes"))
+    return p.select("source_id", F.explode_outer("codes").alias("code")).where("code is not null").groupBy("source_id", "code").agg(F.count("*").alias("pages"))
 
 
 PLAN_AND_PRODUCT_CODES = r"""
@@ -166,8 +166,8 @@ SELECT source_id, code, count(*) AS pages FROM c GROUP BY ALL"""
 
 
 def code_summary(spark: SparkSession, folder: str) -> DataFrame:
-    p = _pages(spark, folder).select("page_id", "source_id", "text").distinct()
-    each = p.select("source_id", F.explode_outer(T.product_codes(F.col("text"))).alias("code")).where("code is not null")
+    p = _once(_pages(spark, folder), "page_id", "source_id", T.product_codes(F.col("text")).alias("codes"))
+    each = p.select("source_id", F.explode_outer("codes").alias("code")).where("code is not null")
     return corpus.value_summary(each, "source_id", "code")
 
 
@@ -352,8 +352,8 @@ CATEGORY_COUNTS = "SELECT content_type, pii_status, count(*) AS pages, count(DIS
 
 
 def record_problems(spark: SparkSession, folder: str) -> DataFrame:
-    found = records.record_problems(_pages(spark, folder).select("page_id", "source_id", "page_number", "text").distinct())
-    return found.select("page_id", F.explode("problems").alias("problem"))
+    found = records.record_problems(_pages(spark, folder).select("page_id", "source_id", "page_number", "text"))
+    return _once(found, "page_id", "source_id", "page_number", "problems").select("page_id", F.explode("problems").alias("problem"))
 
 
 RECORD_PROBLEMS = """
@@ -364,9 +364,8 @@ SELECT page_id, problem FROM r WHERE problem IS NOT NULL"""
 
 
 def chunk_windows(spark: SparkSession, folder: str) -> DataFrame:
-    p = _pages(spark, folder).select("page_id", "text").distinct()
-    each = p.select("page_id", F.posexplode(T.word_windows(F.col("text"))).alias("window_no", "words"))
-    return each.select("page_id", "window_no", F.size("words").alias("words"), F.sha2(F.array_join("words", " "), 256).alias("window_hash"))
+    each = _pages(spark, folder).select("page_id", F.xxhash64("text").alias("_text"), F.posexplode(T.word_windows(F.col("text"))).alias("window_no", "words"))
+    return each.select("page_id", "_text", "window_no", F.size("words").alias("words"), F.sha2(F.array_join("words", " "), 256).alias("window_hash")).distinct().drop("_text")
 
 
 CHUNK_WINDOWS = f"""
@@ -377,13 +376,13 @@ SELECT page_id, CAST(window_no AS INTEGER) AS window_no, CAST(len(part) AS INTEG
 
 
 def chunk_pack(spark: SparkSession, folder: str) -> DataFrame:
-    p = _pages(spark, folder).select("page_id", "text").distinct()
-    return chunking.chunk_records(chunking.chunk_pages(p), _pages(spark, folder)).select("chunk_id", "page_id", "chunk_index", "chunk_token_count", "chunk_length", "text_hash")
+    chunked = chunking.chunk_records(chunking.chunk_pages(_pages(spark, folder)), _pages(spark, folder))
+    return chunked.select("chunk_id", "page_id", "chunk_index", "chunk_token_count", "chunk_length", "text_hash").distinct()
 
 
 def chunk_token_stats(spark: SparkSession, folder: str) -> DataFrame:
-    p = _pages(spark, folder).select("page_id", "source_id", "text").distinct()
-    each = chunking.chunk_pages(p).join(p.select("page_id", "source_id").distinct(), "page_id")
+    p = _pages(spark, folder)
+    each = chunking.chunk_pages(p).select("page_id", "chunk_index", "chunk_token_count", F.xxhash64("text").alias("_text")).distinct().join(p.select("page_id", "source_id").distinct(), "page_id")
     return each.groupBy("source_id").agg(F.count("*").alias("chunks"), F.min("chunk_token_count").alias("least"), F.max("chunk_token_count").alias("most"), F.round(F.avg("chunk_token_count"), 4).alias("mean"), F.count_if(F.col("chunk_token_count") > chunking.LIMIT).alias("over_limit"))
 
 
@@ -492,9 +491,8 @@ FETCH_STATUS = r"SELECT regexp_extract(url, '^\w+://([^/:?#]+)', 1) AS host, cou
 
 
 def web_page_records(spark: SparkSession, folder: str) -> DataFrame:
-    t = table(spark, folder, "web_texts").distinct()
     text = F.col("text")
-    return t.select("text_file", P.web_section(text).alias("section"), T.two_script_label(text).alias("script"), P.table_signal(text).alias("table_signal"), F.length("text").alias("chars"))
+    return _once(table(spark, folder, "web_texts"), "text_file", P.web_section(text).alias("section"), T.two_script_label(text).alias("script"), P.table_signal(text).alias("table_signal"), F.length("text").alias("chars"))
 
 
 WEB_PAGE_RECORDS = r"""
