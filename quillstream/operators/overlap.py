@@ -2,62 +2,76 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillstream.functions.text import shingles, squash
+from quillstream.functions.text import bound, shingle_hashes, squash
 from quillstream.session import cut
 
 
-def representatives(df: DataFrame, key: str, text: str) -> DataFrame:
-    """(class_id, text): one row for each different squashed text, named by its smallest key."""
-    plain = df.select(F.col(key).alias("k"), F.lower(squash(F.col(text))).alias("t")).where(F.length("t") > 0)
-    return plain.groupBy("t").agg(F.min("k").alias("class_id")).select("class_id", F.col("t").alias("text"))
+def _hashed(df: DataFrame, key: str, text: str) -> DataFrame:
+    """(k, h, plain): each row that isn't blank with the hash of its squashed text."""
+    plain = df.select(F.col(f"`{key}`").alias("k"), F.lower(squash(F.col(f"`{text}`"))).alias("plain")).where(F.length("plain") > 0)
+    return plain.select("k", F.unhex(F.sha2("plain", 256)).alias("h"), "plain")
 
 
-def containment_pairs(df: DataFrame, key: str, text: str, threshold: float = 0.8, size: int = 5) -> DataFrame:
-    """(small, large, common, similarity): class representatives of which the smaller shares at least `threshold` of its shingles with the larger.
+def _marked(df: DataFrame, key: str, text: str, size: int) -> DataFrame:
+    """(class_id, marks): for each different text the hashes of its shingles, written once."""
+    rows = _hashed(df, key, text).select("k", "h", shingle_hashes(F.col("plain"), size).alias("marks"))
+    return cut(rows.groupBy("h").agg(F.min("k").alias("class_id"), F.any_value("marks").alias("marks")).where(F.size("marks") > 0).select("class_id", "marks"))
 
-    Prefix filter: a smaller text that reaches the threshold must have one of its rarest (1 - threshold) * n + 1 shingles in the
-    larger, so only these meet the full inverted list; frequent shingles enter a prefix only where a text has no rarer ones. The
-    candidates' whole shingle arrays then give the exact number in common. Nothing is capped, so no pair is lost.
-    """
-    rows = cut(representatives(df, key, text).select("class_id", F.transform(shingles(F.col("text"), size), lambda s: F.xxhash64(s)).alias("marks")).where(F.size("marks") > 0))
+
+def _contained(rows: DataFrame, threshold: float) -> DataFrame:
     each = rows.select("class_id", F.size("marks").alias("n"), F.explode("marks").alias("mark"))
     frequency = each.groupBy("mark").agg(F.count("*").alias("df")).where("df > 1")
-    shared = each.join(frequency, "mark")
-    # a shingle that no other text has can be in a prefix but never finds anything
-    alone = each.groupBy("class_id", "n").agg(F.lit(1)).join(shared.groupBy(F.col("class_id").alias("c")).agg(F.count("*").alias("common")), F.col("class_id") == F.col("c")).select("class_id", "n", (F.col("n") - F.col("common")).alias("own"))
-    ranked = shared.withColumn("r", F.row_number().over(Window.partitionBy("class_id").orderBy("df", "mark")))
-    longest = F.col("n") - F.ceil(F.lit(threshold) * F.col("n") - 1e-9) + 1
-    prefix = ranked.join(alone.select(F.col("class_id").alias("c"), "own"), F.col("class_id") == F.col("c")).where(F.col("r") + F.col("own") <= longest).select(F.col("class_id").alias("small"), F.col("n").alias("n_small"), "mark")
+    shared = cut(each.join(frequency, "mark"))  # the shingles of several texts, looked at from both sides below
+    # in the row: a text's shared shingles, rarest first, of which the prefix is cut; those that no other text has come before them and find nothing
+    ranked = shared.groupBy(F.col("class_id").alias("small"), F.col("n").alias("n_small")).agg(F.sort_array(F.collect_list(F.struct("df", "mark"))).alias("by"))
+    longest = F.col("n_small") - F.ceil(F.lit(threshold) * F.col("n_small") - 1e-9) + 1
+    room = bound(longest - (F.col("n_small") - F.size("by")), lambda x: F.greatest(x, F.lit(0)))
+    prefix = ranked.select("small", "n_small", F.explode(F.slice(F.col("by"), 1, room.cast("int"))).alias("x")).select("small", "n_small", F.col("x.mark").alias("mark"))
     listed = shared.select(F.col("class_id").alias("large"), F.col("n").alias("n_large"), "mark")
     ordered = (F.col("n_small") < F.col("n_large")) | ((F.col("n_small") == F.col("n_large")) & (F.col("small") < F.col("large")))
     candidates = prefix.join(listed, "mark").where((F.col("small") != F.col("large")) & ordered).select("small", "large").distinct()
-    a, b = rows.select(F.col("class_id").alias("a"), F.col("marks").alias("m_a")), rows.select(F.col("class_id").alias("b"), F.col("marks").alias("m_b"))
-    both = candidates.join(a, F.col("small") == F.col("a")).join(b, F.col("large") == F.col("b"))
+    a, b = rows.select(F.col("class_id").alias("small"), F.col("marks").alias("m_a")), rows.select(F.col("class_id").alias("large"), F.col("marks").alias("m_b"))
+    both = candidates.join(a, "small").join(b, "large")
     common = both.select("small", "large", F.size(F.array_intersect("m_a", "m_b")).alias("common"), F.least(F.size("m_a"), F.size("m_b")).alias("n"))
     return common.where(F.col("common") >= F.lit(threshold) * F.col("n") - 1e-9).select("small", "large", "common", F.round(F.col("common") / F.col("n"), 6).alias("similarity"))
 
 
-def near_duplicate_classes(df: DataFrame, key: str, text: str, threshold: float = 0.8, size: int = 5, rounds: int = 30) -> DataFrame:
-    """(key, class_id): rows whose texts are linked by containment, over any number of links, share the smallest key among them.
+def containment_pairs(df: DataFrame, key: str, text: str, threshold: float = 0.8, size: int = 5) -> DataFrame:
+    """(small, large, common, similarity): class representatives of which the smaller shares at least `threshold` of its shingles with the larger.
+
+    A class holds the rows of one squashed text and is named by its smallest key. Prefix filter: a smaller text that reaches
+    the threshold must have one of its rarest (1 - threshold) * n + 1 shingles in the larger, so only these meet the full
+    inverted list; frequent shingles enter a prefix only where a text has no rarer ones. The candidates' whole shingle
+    arrays then give the exact number in common. Nothing is capped, so no pair is lost. Null and blank texts have no class.
+    """
+    return _contained(_marked(df, key, text, size), threshold)
+
+
+def linked_components(links: DataFrame) -> DataFrame:
+    """(node, label): the smallest node that each node of `links` (small, large) is linked with, over any number of links.
 
-    Labels spread over the links between different texts by pointer jumping, each round in a written table, until none changes.
+    Labels spread by taking the least of the neighbours' and then the label's own label, each round in a written table, until no
+    label changes; so rounds grow with the logarithm of the longest chain.
     """
-    links = containment_pairs(df, key, text, threshold, size).select("small", "large")
-    links = cut(links.unionByName(links.select(F.col("large").alias("small"), F.col("small").alias("large"))))
-    label = links.select(F.col("small").alias("node")).distinct().withColumn("label", F.col("node"))
-    for _ in range(rounds):
-        near = links.join(label, F.col("large") == F.col("node")).groupBy("small").agg(F.min("label").alias("near"))
+    both = cut(links.select("small", "large").unionByName(links.select(F.col("large").alias("small"), F.col("small").alias("large"))).distinct())
+    label = both.groupBy(F.col("small").alias("node")).agg(F.least(F.min("large"), F.col("node")).alias("label"))
+    while True:
+        near = both.join(label, F.col("large") == F.col("node")).groupBy("small").agg(F.min("label").alias("near"))
         step = label.join(near, F.col("node") == F.col("small"), "left").select("node", F.least("label", F.coalesce("near", "label")).alias("next"), "label")
         jump = step.select(F.col("node").alias("j"), F.col("next").alias("far"))
         after = cut(step.join(jump, F.col("next") == F.col("j"), "left").select("node", F.least("next", F.coalesce("far", "next")).alias("new"), "label"))
-        changed = after.where("new <> label").limit(1).count()
         label = after.select("node", F.col("new").alias("label"))
-        if not changed:
-            break
-    plain = df.select(F.col(key), F.lower(squash(F.col(text))).alias("_t")).where(F.length("_t") > 0)
-    classes = representatives(df, key, text)
-    own = plain.join(classes.select(F.col("class_id").alias("_c"), F.col("text").alias("_s")), F.col("_t") == F.col("_s"))
-    return own.join(label, F.col("_c") == F.col("node"), "left").select(key, F.coalesce("label", "_c").alias("class_id"))
+        if after.where("new <> label").isEmpty():
+            return label
+
+
+def near_duplicate_classes(df: DataFrame, key: str, text: str, threshold: float = 0.8, size: int = 5) -> DataFrame:
+    """(key, class_id): rows whose texts are linked by containment, over any number of links, share the smallest key among them. Null and blank texts have no row."""
+    rows = _hashed(df, key, text).select("k", "h")
+    classes = rows.groupBy(F.col("h").alias("c")).agg(F.min("k").alias("class_id"))
+    label = linked_components(_contained(_marked(df, key, text, size), threshold))
+    named = classes.join(label, F.col("class_id") == F.col("node"), "left").select("c", F.coalesce("label", "class_id").alias("class_id"))
+    return rows.join(named, F.col("h") == F.col("c")).select(F.col("k").alias(key), "class_id")

@@ -394,14 +394,19 @@ def containment_pairs(spark: SparkSession, folder: str) -> DataFrame:
     return overlap.containment_pairs(table(spark, folder, "documents"), "doc_id", "text")
 
 
-CONTAINMENT_PAIRS = f"""
-WITH d AS (SELECT lower({_sq('text')}) AS t, min(doc_id) AS class_id FROM documents GROUP BY 1 HAVING t <> ''),
+_CONTAINED = f"""
+d AS (SELECT lower({_sq('text')}) AS t, min(doc_id) AS class_id FROM documents GROUP BY 1 HAVING t <> ''),
 w AS (SELECT class_id, string_split(t, ' ') AS w FROM d),
 s AS (SELECT class_id, list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i : i + 4], ' '))) AS marks FROM w WHERE len(w) >= 5),
 e AS (SELECT class_id, len(marks) AS n, unnest(marks) AS mark FROM s),
-c AS (SELECT a.class_id AS x, b.class_id AS y, a.n AS nx, b.n AS ny, count(*) AS common FROM e a JOIN e b ON a.mark = b.mark AND a.class_id < b.class_id GROUP BY ALL)
-SELECT CASE WHEN nx <= ny THEN x ELSE y END AS small, CASE WHEN nx <= ny THEN y ELSE x END AS large, CAST(common AS INTEGER) AS common, round(common / least(nx, ny), 6) AS similarity
-FROM c WHERE common >= 0.8 * least(nx, ny) - 1e-9"""
+c AS (SELECT a.class_id AS x, b.class_id AS y, a.n AS nx, b.n AS ny, count(*) AS common FROM e a JOIN e b ON a.mark = b.mark AND a.class_id < b.class_id GROUP BY ALL HAVING count(*) >= 0.8 * least(a.n, b.n) - 1e-9)"""
+CONTAINMENT_PAIRS = f"""
+WITH {_CONTAINED} SELECT CASE WHEN nx <= ny THEN x ELSE y END AS small, CASE WHEN nx <= ny THEN y ELSE x END AS large, CAST(common AS INTEGER) AS common, round(common / least(nx, ny), 6) AS similarity FROM c"""
+NEAR_DUPLICATES = f"""
+WITH RECURSIVE {_CONTAINED}, l AS (SELECT x AS a, y AS b FROM c UNION SELECT y, x FROM c),
+r AS (SELECT a AS node, a AS met FROM l UNION SELECT r.node, l.b FROM r JOIN l ON r.met = l.a),
+g AS (SELECT node, min(met) AS label FROM r GROUP BY node)
+SELECT doc_id, coalesce(label, class_id) AS class_id FROM (SELECT doc_id, lower({_sq('text')}) AS t FROM documents) x JOIN d USING (t) LEFT JOIN g ON d.class_id = g.node"""
 
 
 def banners(spark: SparkSession, folder: str) -> DataFrame:
@@ -450,8 +455,8 @@ CLEANING_INTEGRITY = r"SELECT DISTINCT file, 'OK' AS verdict FROM raw_text WHERE
 
 
 def blank_lines_collapsed(spark: SparkSession, folder: str) -> DataFrame:
-    c = table(spark, folder, "cleaned").select("source_file", "text").distinct()
-    return c.select("source_file", cleaning.collapse_blank_lines(F.col("text")).alias("text"))
+    c = table(spark, folder, "cleaned").select("source_file", F.xxhash64("text").alias("_text"), cleaning.collapse_blank_lines(F.col("text")).alias("text"))
+    return c.dropDuplicates(["source_file", "_text"]).drop("_text")
 
 
 BLANK_LINES_COLLAPSED = r"SELECT source_file, regexp_replace(text, '\n(?:[ \t]*\n){2,}', chr(10) || chr(10), 'g') AS text FROM (SELECT DISTINCT source_file, text FROM cleaned)"
