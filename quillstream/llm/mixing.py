@@ -77,6 +77,13 @@ class Membership:
         return np.divide(p, whole, out=np.zeros_like(p), where=whole > 0)
 
 
+def _small(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces, as a row's tokens times the sources take memory."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def _tokens(batch: pa.RecordBatch, path: str) -> list[list[int]]:
     encode = _encoder(path).encode_ordinary
     return [encode(t) if t else [] for t in batch.column("text").to_pylist()]
@@ -86,7 +93,7 @@ def _counter(path: str):
     """Counts (label, bucket, n) over a sample."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _small(batches):
             tokens = _tokens(batch, path)
             sizes = [len(t) for t in tokens]
             flat = np.fromiter((x for t in tokens for x in t), np.int64, sum(sizes)) % BUCKETS
@@ -100,7 +107,7 @@ def _judge(model: Membership, path: str):
     """Summed log loss (temperature, loss) over held-out rows."""
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _small(batches):
             label = batch.column("label").to_numpy()
             raw = np.where(model.fitted, model.likelihoods(_tokens(batch, path)), -np.inf)[model.fitted[label]]
             label = label[model.fitted[label]]
@@ -136,7 +143,7 @@ def _groups(model: Membership, path: str, trust: float):
     tokens of each source; tokens and documents stand in the rows of source -1."""
 
     def group(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _small(batches):
             tokens = _tokens(batch, path)
             label = batch.column("label").to_numpy()
             n = np.array([len(t) for t in tokens], np.int64)
@@ -287,7 +294,7 @@ def mix_report(documents: DataFrame, targets: DataFrame, path: str = TOKENIZER,
 
 def _repeater(mix: Mix, path: str, trust: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def repeat(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _small(batches):
             tokens, label = _tokens(batch, path), batch.column("label").to_numpy()
             rate = mix.rates(mix.model.posteriors(tokens, label, trust), label)
             draw = batch.column("draw").to_numpy()
