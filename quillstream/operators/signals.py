@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from quillstream.functions.text import spoken_form
 from quillstream.session import cut
@@ -48,12 +53,34 @@ def first_signal(detected: DataFrame, key: str) -> DataFrame:
     return detected.groupBy(key).agg(F.min_by("type", "ord").alias("type"))
 
 
+def _pauses(pause: int):
+    """Marks the rows kept among rows sorted by group and time, batch after batch: the next one kept is looked up, so the work is that of the kept rows."""
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, last = None, 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            g, t = np.asarray(batch.column("_g")), np.asarray(batch.column("_t"))
+            keep = np.zeros(len(g), bool)
+            edges = np.flatnonzero(np.concatenate(([True], g[1:] != g[:-1], [True])))
+            for start, end in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+                at = start if g[start] != group else start + int(np.searchsorted(t[start:end], last + pause))
+                while at < end:
+                    keep[at], last = True, int(t[at])
+                    at += 1 if pause <= 0 else int(np.searchsorted(t[at:end], last + pause))
+                group = g[start]
+            yield batch.select([n for n in batch.schema.names if n not in ("_g", "_t")]).append_column("decision", pa.array(np.where(keep, "keep", "suppress"), pa.string()))
+
+    return judge
+
+
 def cooldown(df: DataFrame, keys: list[str], at: str, seconds: float, tie: str, days: int = 7) -> DataFrame:
     """`df` with decision: keep for a row at least `seconds` after the last kept row of its keys, else suppress. Suppressed rows don't start the pause anew.
 
     A row that follows a gap of `seconds` is kept whatever was before, so the rows between two such gaps (a burst) can be judged on
-    their own, each burst by a fold over its sorted times. A key is thus spread over its bursts and over buckets of `days` days,
-    not held in one task. Rows with a null time are left out. Equal times are taken in the order of `tie`.
+    their own. A key is thus spread over its bursts and over buckets of `days` days; a burst is sorted by Spark and streamed through one
+    task, which holds no more than a batch of it. Rows with a null time are left out. Equal times are taken in the order of `tie`.
     """
     micros = F.unix_micros(F.col(at).cast("timestamp"))
     timed = df.where(F.col(at).isNotNull()).withColumn("_t", micros)
@@ -63,50 +90,50 @@ def cooldown(df: DataFrame, keys: list[str], at: str, seconds: float, tie: str,
     near = with_neighbours(timed, keys, ["_t", tie], "_t", bucket, "_before", "_after").drop("_after")
     opens = F.when(F.col("_before").isNull() | (F.col("_t") - F.col("_before") >= pause), F.col("_t"))
     burst = with_last(near, keys, ["_t", tie], {"_burst": opens}, bucket, inclusive=True)
-    rows = F.array_sort(F.collect_list(F.struct(F.col("_t"), F.col(tie).alias("_tie"), F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"))))
-    grouped = burst.groupBy(*[F.col(k).alias(f"_g{i}") for i, k in enumerate(keys)], "_burst").agg(rows.alias("_rows"))
-    kept = F.aggregate(
-        F.transform("_rows", lambda x: x["_t"]),
-        F.struct(F.lit(None).cast("long").alias("last"), F.array().cast("array<boolean>").alias("keep")),
-        lambda a, t: F.struct(
-            F.when(a["last"].isNull() | (t - a["last"] >= pause), t).otherwise(a["last"]).alias("last"),
-            F.concat(a["keep"], F.array(F.coalesce(a["last"].isNull() | (t - a["last"] >= pause), F.lit(True)))).alias("keep"),
-        ),
-        lambda a: a["keep"],
-    )
-    out = grouped.select(F.explode(F.arrays_zip(F.col("_rows").alias("r"), kept.alias("k"))).alias("x"))
-    return out.select("x.r._row.*", F.when(F.col("x.k"), "keep").otherwise("suppress").alias("decision"))
+    named = burst.select(*[F.col(f"`{c}`") for c in df.columns], "_t", F.xxhash64(*[F.col(f"`{k}`") for k in keys], *[F.col(f"`{k}`").isNull() for k in keys], "_burst").alias("_g"))
+    ordered = named.repartition("_g").sortWithinPartitions("_g", "_t", tie)
+    schema = StructType([*df.schema.fields, StructField("decision", StringType())])
+    return ordered.mapInArrow(_pauses(pause), schema)
 
 
 def gate(detected: DataFrame, keys: list[str], at: str, tie: str, threshold: float = 0.7, seconds: float = 10.0) -> DataFrame:
-    """Detected signals with decision and reason: below the threshold or without confidence they are suppressed and start no pause; the rest go through the cooldown."""
-    sure = F.coalesce(F.col("confidence") >= threshold, F.lit(False))
+    """Detected signals with decision and reason: without confidence, below the threshold or without a time they are suppressed and start no pause; the rest go through the cooldown."""
+    sure = F.coalesce(F.col("confidence") >= threshold, F.lit(False)) & F.col(at).isNotNull()
     passed = cooldown(detected.where(sure), keys, at, seconds, tie)
     passed = passed.withColumn("reason", F.when(F.col("decision") == "suppress", "cooldown"))
-    rest = detected.where(~sure).withColumn("decision", F.lit("suppress")).withColumn("reason", F.when(F.col("confidence").isNull(), "missing_confidence").otherwise("below_confidence_threshold"))
+    why = F.when(F.col("confidence").isNull(), "missing_confidence").when(F.col("confidence") < threshold, "below_confidence_threshold").otherwise("missing_time")
+    rest = detected.where(~sure).withColumn("decision", F.lit("suppress")).withColumn("reason", why)
     return passed.unionByName(rest)
 
 
-def floor_percentiles(df: DataFrame, value: str, shares: tuple[float, ...] = (0.5, 0.95), group: str | None = None, buckets: int = 1000) -> DataFrame:
+def floor_percentiles(df: DataFrame, value: str, shares: tuple[float, ...] = (0.5, 0.95), group: str | None = None, buckets: int = 1000, most: int = 100_000) -> DataFrame:
     """(group, share, value): the value at the index floor(share * (n - 1)) of the sorted values; no row for a group without values.
 
     Exact without sorting a group in one task: a histogram of `buckets` equal parts of each group's range tells in which part
-    the wanted index lies, and only that part's different values are sorted.
+    the wanted index lies, that part is cut up again, and so on until it holds at most `most` rows or one value; only these
+    rows' different values are sorted. A far outlier costs another round and nothing else.
     """
     key = F.col(group) if group else F.lit("all")
     plain = df.select(key.alias("g"), F.col(value).cast("double").alias("v")).where(F.col("v").isNotNull())
-    ends = plain.groupBy(F.col("g").alias("eg")).agg(F.min("v").alias("low"), F.max("v").alias("high"), F.count("*").alias("n"))
-    part = F.coalesce(F.least(F.floor(F.try_divide(F.col("v") - F.col("low"), F.col("high") - F.col("low")) * buckets), F.lit(buckets - 1)), F.lit(0)).cast("int")
-    placed = plain.join(ends, F.col("g").eqNullSafe(F.col("eg"))).select("g", "v", "n", part.alias("part"))
-    sizes = placed.groupBy("g", "n", "part").agg(F.count("*").alias("m"))
-    before = sizes.withColumn("before", F.coalesce(F.sum("m").over(Window.partitionBy("g").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    wanted = before.withColumn("share", F.explode(F.array(*map(F.lit, shares)))).withColumn("at", F.floor(F.col("share") * (F.col("n") - 1)))
-    wanted = wanted.where((F.col("at") >= F.col("before")) & (F.col("at") < F.col("before") + F.col("m"))).select(F.col("g").alias("wg"), F.col("part").alias("wp"), "share", (F.col("at") - F.col("before") + 1).alias("place"))
-    near = placed.join(wanted.select(F.col("wg").alias("xg"), F.col("wp").alias("xp")).distinct(), F.col("g").eqNullSafe(F.col("xg")) & (F.col("part") == F.col("xp")), "left_semi")
-    counted = near.groupBy("g", "part", "v").agg(F.count("*").alias("c"))  # however often a value comes, it is one row
-    upto = counted.withColumn("r", F.sum("c").over(Window.partitionBy("g", "part").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)))
-    inside = (F.col("place") <= F.col("r")) & (F.col("place") > F.col("r") - F.col("c"))
-    hit = upto.join(wanted, F.col("g").eqNullSafe(F.col("wg")) & (F.col("part") == F.col("wp")) & inside)
+    ends = plain.groupBy("g").agg(F.min("v").alias("low"), F.max("v").alias("high"), F.count("*").alias("n"))
+    wanted = ends.select("g", F.explode(F.array(*map(F.lit, shares))).alias("share"), "low", "high", "n").select("g", "share", "low", "high", F.col("n").alias("m"), F.floor(F.col("share") * (F.col("n") - 1)).alias("at"))
+    wanted = cut(wanted)  # one row a group and share; `at` counts from the part's first row
+
+    def inside(part: DataFrame) -> DataFrame:
+        near = part.select(F.col("g").alias("pg"), "low", "high").distinct()
+        return plain.join(near, F.col("g").eqNullSafe(F.col("pg")) & F.col("v").between(F.col("low"), F.col("high"))).drop("pg")
+
+    while not wanted.where((F.col("m") > most) & (F.col("low") < F.col("high"))).isEmpty():
+        part = F.least(F.floor((F.col("v") - F.col("low")) / (F.col("high") - F.col("low")) * buckets), F.lit(buckets - 1))
+        parts = inside(wanted).groupBy("g", "low", "high", F.coalesce(part, F.lit(0)).alias("part")).agg(F.count("*").alias("c"), F.min("v").alias("from"), F.max("v").alias("to"))
+        before = F.sum("c").over(Window.partitionBy("g", "low", "high").orderBy("part")) - F.col("c")
+        parts = parts.select(F.col("g").alias("pg"), F.col("low").alias("pl"), F.col("high").alias("ph"), "c", "from", "to", before.alias("before"))
+        here = F.col("g").eqNullSafe(F.col("pg")) & (F.col("low") == F.col("pl")) & (F.col("high") == F.col("ph")) & (F.col("at") >= F.col("before")) & (F.col("at") < F.col("before") + F.col("c"))
+        wanted = cut(wanted.join(parts, here).select("g", "share", F.col("from").alias("low"), F.col("to").alias("high"), F.col("c").alias("m"), (F.col("at") - F.col("before")).alias("at")))
+    counted = inside(wanted).groupBy("g", "low", "high", "v").agg(F.count("*").alias("c"))  # however often a value comes, it is one row
+    upto = counted.withColumn("r", F.sum("c").over(Window.partitionBy("g", "low", "high").orderBy("v")))
+    upto = upto.select(F.col("g").alias("ug"), F.col("low").alias("ul"), F.col("high").alias("uh"), "v", "r", "c")
+    hit = wanted.join(upto, F.col("g").eqNullSafe(F.col("ug")) & (F.col("low") == F.col("ul")) & (F.col("high") == F.col("uh")) & (F.col("at") < F.col("r")) & (F.col("at") >= F.col("r") - F.col("c")))
     return hit.select(F.col("g").alias(group or "group"), "share", F.col("v").alias("value"))
 
 

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillstream.operators import signals, vectors
-from quillstream.session import ensure_checkpoint_dir, table
+from quillstream.session import cut, ensure_checkpoint_dir, table
 from quillstream.streaming import signals as streams
 
 DAY = 86_400.0
@@ -53,13 +53,20 @@ def search_results(spark: SparkSession, folder: str) -> DataFrame:
     e = _embeddings(spark, folder)
     hits = vectors.top_k(e, _queries(e))
     shown = hits.join(e.select(F.col("vec_id").alias("hit"), "label"), "hit")
-    return shown.select("query_id", F.to_json(F.struct("rank", "score", F.col("hit").alias("id"), "label")).alias("result"))
+    return shown.select("query_id", F.to_json(F.struct("rank", F.col("score").cast("decimal(6,4)").alias("score"), F.col("hit").alias("id"), "label")).alias("result"))
+
+
+SEARCH_RESULTS = f"""
+WITH {_SCORED.format(where='')} SELECT query_id, '{{"rank":' || rank || ',"score":' || CAST(score AS DECIMAL(6, 4)) || ',"id":' || hit || ',"label":' || label || '}}' AS result
+FROM r JOIN embeddings e ON e.vec_id = r.hit WHERE rank <= 5"""
 
 
 def index_recall(spark: SparkSession, folder: str) -> DataFrame:
     e = _embeddings(spark, folder)
     centres = vectors.inverted_file(e)
-    return vectors.recall(vectors.indexed_top_k(e, _queries(e), centres), vectors.top_k(e, _queries(e)))
+    index = cut(vectors.assign_cells(e, centres))
+    probes = vectors.tuned_probes(e, index, centres)
+    return vectors.recall(vectors.indexed_top_k(index, _queries(e), centres, probes=probes), vectors.top_k(e, _queries(e)))
 
 
 def event_cooldown(spark: SparkSession, folder: str) -> DataFrame:
@@ -139,7 +146,7 @@ SIGNAL_FIRST = f"{_rule_sql()} SELECT doc_id, arg_min(type, ord) AS type FROM r
 
 
 def signal_gate(spark: SparkSession, folder: str) -> DataFrame:
-    d = table(spark, folder, "documents").select("doc_id", "source", "retrieved_at_utc", "text").where("source is not null and retrieved_at_utc is not null")
+    d = table(spark, folder, "documents").select("doc_id", F.coalesce("source", F.lit("")).alias("source"), "retrieved_at_utc", "text")
     found = signals.detect(d, "text", CORPUS_RULES).drop("text", "matched_keywords")
     done = signals.gate(found, ["source", "type"], "retrieved_at_utc", "doc_id", 0.7, 3600.0)
     return done.select("doc_id", "type", "decision", "reason")
@@ -147,17 +154,17 @@ def signal_gate(spark: SparkSession, folder: str) -> DataFrame:
 
 SIGNAL_GATE = f"""
 {_rule_sql().replace('WITH d AS', 'WITH RECURSIVE d AS')},
-x AS (SELECT r.doc_id, r.type, r.confidence, t.source, t.retrieved_at_utc AS ts FROM r JOIN documents t USING (doc_id) WHERE len(k) > 0 AND t.source IS NOT NULL AND t.retrieved_at_utc IS NOT NULL),
-e AS (SELECT *, row_number() OVER (PARTITION BY source, type ORDER BY ts, doc_id) AS n FROM x WHERE confidence >= 0.7),
+x AS (SELECT r.doc_id, r.type, r.confidence, coalesce(t.source, '') AS source, t.retrieved_at_utc AS ts FROM r JOIN documents t USING (doc_id) WHERE len(k) > 0),
+e AS (SELECT *, row_number() OVER (PARTITION BY source, type ORDER BY ts, doc_id) AS n FROM x WHERE confidence >= 0.7 AND ts IS NOT NULL),
 g AS (SELECT doc_id, source, type, ts, n, ts AS last, TRUE AS keep FROM e WHERE n = 1
   UNION ALL SELECT e.doc_id, e.source, e.type, e.ts, e.n, CASE WHEN e.ts - g.last >= INTERVAL 1 HOUR THEN e.ts ELSE g.last END, e.ts - g.last >= INTERVAL 1 HOUR FROM g JOIN e ON e.source = g.source AND e.type = g.type AND e.n = g.n + 1)
 SELECT doc_id, type, CASE WHEN keep THEN 'keep' ELSE 'suppress' END AS decision, CASE WHEN NOT keep THEN 'cooldown' END AS reason FROM g
-UNION ALL SELECT doc_id, type, 'suppress', CASE WHEN confidence IS NULL THEN 'missing_confidence' ELSE 'below_confidence_threshold' END FROM x WHERE confidence IS NULL OR confidence < 0.7"""
+UNION ALL SELECT doc_id, type, 'suppress', CASE WHEN confidence IS NULL THEN 'missing_confidence' WHEN confidence < 0.7 THEN 'below_confidence_threshold' ELSE 'missing_time' END FROM x WHERE confidence IS NULL OR confidence < 0.7 OR ts IS NULL"""
 
 
 def _folders(spark: SparkSession) -> tuple[str, str]:
     base = ensure_checkpoint_dir(spark)
-    name = next(tempfile._get_candidate_names())
+    name = uuid.uuid4().hex
     return f"{base}/stream-{name}/out", f"{base}/stream-{name}/state"
 
 

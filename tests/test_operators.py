@@ -176,7 +176,9 @@ def test_index_finds_nine_in_ten(spark):
     e = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
     q = e.where("vec_id % 50 = 0")
     exact = vectors.top_k(e, q)
-    found = vectors.indexed_top_k(e, q, vectors.inverted_file(e))
+    centres = vectors.inverted_file(e)
+    index = vectors.assign_cells(e, centres)
+    found = vectors.indexed_top_k(index, q, centres, probes=vectors.tuned_probes(e, index, centres))
     assert vectors.recall(found, exact).first()["recall"] >= 0.9
 
 
