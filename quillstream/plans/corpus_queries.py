@@ -104,6 +104,36 @@ def page_headings(spark: SparkSession, folder: str) -> DataFrame:
     return found.where(F.size("h") > 0).select("page_id", F.array_join("h", "|").alias("headings"), F.array_join(P.topics(F.col("h")), "|").alias("topics"), "section")
 
 
+def _sql_list(values) -> str:
+    return "[" + ", ".join("'" + v.replace("'", "''") + "'" for v in values) + "]"
+
+
+def _sql_contained(text: str, words: tuple[str, ...]) -> str:
+    return f"len(list_filter({_sql_list(words)}, lambda w: contains(lower({text}), w)))"
+
+
+_TRIMMED_LINES = r"list_filter(list_transform(string_split(text, chr(10)), lambda x: trim(regexp_replace(x, '^\s+|\s+$', '', 'g'))), lambda x: x <> '')"
+_NAMES = "|".join(n for n, _, _ in sorted(P.HEADINGS, key=lambda h: -len(h[0])))
+#: Known headings of each (id, text) of a table p, in order, each once: h.
+_HEADINGS = rf"""
+hl AS (SELECT *, {_TRIMMED_LINES} AS lines FROM p),
+hp AS (SELECT *, list_transform(lines, lambda x: {{'line': x, 'plain': trim(regexp_replace(x, '{P.LEADING_NUMBER}', ''))}}) AS parts FROM hl),
+hk AS (SELECT * EXCLUDE (parts), list_transform(list_filter(parts, lambda x: length(x.line) <= 200 AND NOT regexp_matches(x.line, '^(?:- |•)') AND regexp_matches(x.plain, '^\p{{Lu}}')),
+  lambda x: CASE WHEN regexp_matches(x.plain, '(?i)^({_NAMES})\s*[:–—-]\s*\S') THEN lower(regexp_extract(x.plain, '(?i)^({_NAMES})\s*[:–—-]\s*\S', 1))
+    WHEN length(x.plain) <= 60 THEN lower({_sq("regexp_replace(regexp_replace(x.plain, ':+$', ''), '^[\s" + chr(34) + "“”'']+|[\s" + chr(34) + "“”'']+$', '', 'g')")}) END) AS keys FROM hp),
+hn AS (SELECT *, list_filter(list_transform(keys, lambda k: {_sql_list(n for n, _, _ in P.HEADINGS)}[list_position({_sql_list(n.lower() for n, _, _ in P.HEADINGS)}, k)]), lambda x: x IS NOT NULL) AS found FROM hk),
+hd AS (SELECT * EXCLUDE (keys, found), list_filter(found, lambda x, i: list_position(found, x) = i) AS h FROM hn)"""
+
+
+def _sql_by_heading(name: str, place: int) -> str:
+    return f"{_sql_list(x[place] for x in P.HEADINGS)}[list_position({_sql_list(n for n, _, _ in P.HEADINGS)}, {name})]"
+
+
+PAGE_HEADINGS = f"""
+WITH p AS (SELECT DISTINCT page_id, text FROM page_records), {_HEADINGS}, t AS (SELECT page_id, h, list_transform(h, lambda x: {_sql_by_heading('x', 1)}) AS t FROM hd WHERE len(h) > 0)
+SELECT page_id, array_to_string(h, '|') AS headings, array_to_string(list_filter(t, lambda x, i: list_position(t, x) = i), '|') AS topics, h[1] AS section FROM t"""
+
+
 def page_tables(spark: SparkSession, folder: str) -> DataFrame:
     return _once(_pages(spark, folder), "page_id", P.table_signal(F.col("text")).alias("table_signal"))
 
@@ -144,6 +174,19 @@ def personal_data_status(spark: SparkSession, folder: str) -> DataFrame:
     return d.select("doc_id", P.personal_status(F.col("text")).alias("status"), F.size(P.personal_data(F.col("text"))).alias("kinds"))
 
 
+_FORM_COUNTS = r"""
+len(list_filter(lines, lambda x: regexp_matches(x, '_{4,}') OR (regexp_matches(x, '\.{8,}') AND NOT regexp_matches(x, '\.{8,}\s*[0-9]+\s*$')))) AS blanks,
+len(list_filter(lines, lambda x: regexp_matches(x, '^[A-Z][A-Za-z /()'']{2,40}:$'))) AS labels,
+len(list_distinct(list_transform(regexp_extract_all(text, '(?i)\b(signature|declaration|applicant|proposer|policyholder|life\s+assured|witness|thumb\s+impression)\b', 1), lambda w: lower(trim(regexp_replace(w, '\s+', ' ', 'g')))))) AS signatures"""
+_KINDS_FOUND = " + ".join(f"CAST(regexp_matches(text, '{x}') AS INTEGER)" for x in P.PERSONAL.values())
+PERSONAL_DATA_STATUS = rf"""
+WITH p AS (SELECT doc_id, text, {_TRIMMED_LINES} AS lines FROM documents),
+c AS (SELECT doc_id, text, {_KINDS_FOUND} AS firm, CAST(regexp_matches(text, '{P.EMAIL}') AS INTEGER) + CAST(regexp_matches(text, '{P.PHONE}') AS INTEGER) AS contacts, {_FORM_COUNTS} FROM p)
+SELECT doc_id, CASE WHEN text IS NULL OR length(regexp_replace(text, '{_BLANK}', '', 'g')) < 20 OR regexp_matches(text, '\x{{FFFD}}|\(cid:[0-9]+\)') THEN 'unknown' WHEN firm > 0 THEN 'possible_pii'
+  WHEN contacts > 0 THEN CASE WHEN {_sql_contained('text', P.CONTACT_WORDS)} > 0 THEN 'public_contact_information' ELSE 'possible_pii' END
+  WHEN blanks > 0 OR labels >= 3 THEN 'template_fields' ELSE 'none_detected' END AS status, CAST(coalesce(firm + contacts, 0) AS INTEGER) AS kinds FROM c"""
+
+
 def redacted_previews(spark: SparkSession, folder: str) -> DataFrame:
     d = table(spark, folder, "documents")
     return d.select("doc_id", T.preview(F.col("text")).alias("preview"))
@@ -154,6 +197,24 @@ def content_kinds(spark: SparkSession, folder: str) -> DataFrame:
     return p.select("page_id", P.content_kind(F.col("e")).alias("kind"), F.array_join(F.transform("e", lambda e: e["basis"]), "|").alias("basis"))
 
 
+CONTENT_KINDS = rf"""
+WITH p AS (SELECT DISTINCT page_id, text FROM page_records), {_HEADINGS},
+m AS (SELECT page_id, h, text, {_FORM_COUNTS}, len(lines) AS n, len(list_filter(lines, lambda x: length(x) <= 40 AND regexp_matches(x, '[0-9]') AND regexp_matches(x, '{P.NUMERIC_LINE}'))) AS num,
+  len(list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '\|.*\||\t.*\t'))) AS piped, {_sql_contained('text', P.CONTACT_WORDS)} + len(regexp_extract_all(text, '{P.EMAIL}')) AS contacts,
+  len(regexp_extract_all(text, '{P.DEFINED_TERM}')) AS defined, len(list_filter(lines, lambda x: regexp_matches(x, '(?i)^step\s*[0-9]+\b'))) AS steps, {_sql_contained('text', P.COMPLIANCE_PHRASES)} AS compliance FROM hd),
+e AS (SELECT page_id, list_filter([
+  CASE WHEN blanks >= 3 OR (blanks >= 1 AND signatures >= 2) THEN {{'kind': 'form', 'rank': CASE WHEN blanks >= 3 THEN 3 ELSE 2 END, 'basis': 'form_fields'}} END,
+  CASE WHEN contacts >= 2 THEN {{'kind': 'contact', 'rank': CASE WHEN contacts >= 5 THEN 3 ELSE 2 END, 'basis': 'contact_details'}} END,
+  CASE WHEN (num >= 12 AND num >= 0.35 * n) OR piped >= 3 THEN {{'kind': 'table', 'rank': 2, 'basis': 'table_lines'}} END,
+  CASE WHEN defined >= 3 THEN {{'kind': 'definition', 'rank': 3, 'basis': 'defined_terms'}} END,
+  CASE WHEN steps >= 2 THEN {{'kind': 'procedure', 'rank': 2, 'basis': 'step_lines'}} END,
+  CASE WHEN compliance > 0 AND length(text) < 400 THEN {{'kind': 'disclaimer', 'rank': 2, 'basis': 'compliance_phrase'}} END], lambda x: x IS NOT NULL)
+  || list_transform(h, lambda x: {{'kind': {_sql_by_heading('x', 2)}, 'rank': 2, 'basis': 'heading:' || x}}) AS e FROM m),
+b AS (SELECT page_id, e, list_max(list_transform(e, lambda x: x.rank)) AS best FROM e),
+t AS (SELECT page_id, e, list_distinct(list_transform(list_filter(e, lambda x: x.rank = best), lambda x: x.kind)) AS top FROM b)
+SELECT page_id, CASE WHEN len(e) = 0 THEN 'unknown' WHEN len(top) = 1 THEN top[1] ELSE 'mixed' END AS kind, array_to_string(list_transform(e, lambda x: x.basis), '|') AS basis FROM t"""
+
+
 def plan_and_product_codes(spark: SparkSession, folder: str) -> DataFrame:
     p = _once(_pages(spark, folder), "source_id", F.concat(T.plan_numbers(F.col("text")), T.product_codes(F.col("text"))).alias("codes"))
     return p.select("source_id", F.explode_outer("codes").alias("code")).where("code is not null").groupBy("source_id", "code").agg(F.count("*").alias("pages"))
