@@ -122,16 +122,27 @@ def layout(text: str, title: str = "") -> list[tuple[int, int, str, str]]:
             for n, key in own:
                 if kind.get(n) == "page_number":
                     continue
-                titled = len(heading) >= 8 and _like(key, heading)
-                low, high = max(0, place - NEAR), min(len(keys), place + NEAR + 1)
-                again = titled or sum(any(_like(key, other) for m, other in keys[p] if kind.get(m) != "page_number") for p in range(low, high) if p != place) >= max(1, 0.34 * (high - low - 1))
-                if len(key) < 4 or n not in able or not again:
+                if len(key) < 4 or n not in able or not (len(heading) >= 8 and _like(key, heading) or _again(keys, kind, place, key)):
                     kind.setdefault(n, "edge")
                     break
                 kind[n] = "header"
     return [(n, place + 1, kind.get(n, "body"), x) for place, p in enumerate(pages) for n, x in p]
 
 
+def _again(keys: list[list[tuple[int, str]]], kind: dict[int, str], place: int, key: str) -> bool:
+    """Whether about the same letters stand on the same edge of enough of the pages near this one."""
+    low, high = max(0, place - NEAR), min(len(keys), place + NEAR + 1)
+    need = max(1, 0.34 * (high - low - 1))
+    for p in range(low, high):
+        if p != place and any(_like(key, other) for m, other in keys[p] if kind.get(m) != "page_number"):
+            need -= 1
+            if need <= 0:
+                return True
+        elif need > high - p:
+            return False
+    return False
+
+
 def _like(a: str, b: str) -> bool:
     if a == b:
         return True
