@@ -131,17 +131,20 @@ def characters(df: DataFrame, key: str, text: str) -> DataFrame:
     return each.where("character <> ''").groupBy(key, "character").agg(F.count("*").alias("n"))
 
 
-def _sorted_characters(text: Column) -> Column:
-    return F.array_join(F.sort_array(F.split(F.regexp_replace(text, r"\s", ""), "")), "")
+def _multiset(text: Column) -> Column:
+    """A text's characters, white space aside, as their number and two sums of hashes: the same for the same characters in any order."""
+    plain = F.split(F.regexp_replace(text, r"\s", ""), "")
+    zero = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).cast("decimal(38,0)").alias("a"), F.lit(0).cast("decimal(38,0)").alias("b"))
+    return F.aggregate(plain, zero, lambda t, c: F.struct((t["n"] + F.length(c)).alias("n"), (t["a"] + F.xxhash64(c)).cast("decimal(38,0)").alias("a"), (t["b"] + F.xxhash64(c, F.lit(1))).cast("decimal(38,0)").alias("b")))
 
 
 def integrity(raw: DataFrame, clean: DataFrame, removed: DataFrame, file: str = "file") -> DataFrame:
     """(file, verdict): OK where the characters of the raw text, white space aside, are those of the clean text and the removed lines together, else MISMATCH.
 
-    Both sides are compared as sorted characters, file by file, so no character is shuffled on its own. Files whose raw text is blank have no row.
+    Both sides are compared by sums over the hashes of their characters, taken in one pass over each text. Files whose raw text is blank have no row.
     """
     taken = removed.groupBy(F.col(file).alias("_t")).agg(F.array_join(F.collect_list("line"), "").alias("taken"))
     after = clean.select(F.col(file).alias("_f"), F.col("text").alias("kept")).join(taken, F.col("_f") == F.col("_t"), "left")
-    after = after.select("_f", _sorted_characters(F.concat("kept", F.coalesce("taken", F.lit("")))).alias("after"))
-    both = raw.where(F.col("text").rlike(r"\S")).select(F.col(file), _sorted_characters(F.col("text")).alias("before")).join(after, F.col(file) == F.col("_f"), "left")
+    after = after.select("_f", _multiset(F.concat("kept", F.coalesce("taken", F.lit("")))).alias("after"))
+    both = raw.where(F.col("text").rlike(r"\S")).select(F.col(file), _multiset(F.col("text")).alias("before")).join(after, F.col(file) == F.col("_f"), "left")
     return both.select(file, F.when(F.col("before").eqNullSafe(F.col("after")), "OK").otherwise("MISMATCH").alias("verdict"))

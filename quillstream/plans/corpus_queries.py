@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quillstream.functions import pages as P
 from quillstream.functions import text as T
-from quillstream.operators import chunking, cleaning, corpus, overlap
+from quillstream.operators import assembly, chunking, cleaning, corpus, overlap
 from quillstream.session import cut, table
 from quillstream.sources import records
 
@@ -113,6 +113,7 @@ def _sql_contained(text: str, words: tuple[str, ...]) -> str:
 
 
 _TRIMMED_LINES = r"list_filter(list_transform(string_split(text, chr(10)), lambda x: trim(regexp_replace(x, '^\s+|\s+$', '', 'g'))), lambda x: x <> '')"
+_BARE = _sq(r"""regexp_replace(regexp_replace(x.plain, ':+$', ''), '^[\s"“”'']+|[\s"“”'']+$', '', 'g')""")
 _NAMES = "|".join(n for n, _, _ in sorted(P.HEADINGS, key=lambda h: -len(h[0])))
 #: Known headings of each (id, text) of a table p, in order, each once: h.
 _HEADINGS = rf"""
@@ -120,7 +121,7 @@ hl AS (SELECT *, {_TRIMMED_LINES} AS lines FROM p),
 hp AS (SELECT *, list_transform(lines, lambda x: {{'line': x, 'plain': trim(regexp_replace(x, '{P.LEADING_NUMBER}', ''))}}) AS parts FROM hl),
 hk AS (SELECT * EXCLUDE (parts), list_transform(list_filter(parts, lambda x: length(x.line) <= 200 AND NOT regexp_matches(x.line, '^(?:- |•)') AND regexp_matches(x.plain, '^\p{{Lu}}')),
   lambda x: CASE WHEN regexp_matches(x.plain, '(?i)^({_NAMES})\s*[:–—-]\s*\S') THEN lower(regexp_extract(x.plain, '(?i)^({_NAMES})\s*[:–—-]\s*\S', 1))
-    WHEN length(x.plain) <= 60 THEN lower({_sq("regexp_replace(regexp_replace(x.plain, ':+$', ''), '^[\s" + chr(34) + "“”'']+|[\s" + chr(34) + "“”'']+$', '', 'g')")}) END) AS keys FROM hp),
+    WHEN length(x.plain) <= 60 THEN lower({_BARE}) END) AS keys FROM hp),
 hn AS (SELECT *, list_filter(list_transform(keys, lambda k: {_sql_list(n for n, _, _ in P.HEADINGS)}[list_position({_sql_list(n.lower() for n, _, _ in P.HEADINGS)}, k)]), lambda x: x IS NOT NULL) AS found FROM hk),
 hd AS (SELECT * EXCLUDE (keys, found), list_filter(found, lambda x, i: list_position(found, x) = i) AS h FROM hn)"""
 
@@ -197,8 +198,8 @@ def content_kinds(spark: SparkSession, folder: str) -> DataFrame:
     return p.select("page_id", P.content_kind(F.col("e")).alias("kind"), F.array_join(F.transform("e", lambda e: e["basis"]), "|").alias("basis"))
 
 
-CONTENT_KINDS = rf"""
-WITH p AS (SELECT DISTINCT page_id, text FROM page_records), {_HEADINGS},
+#: The evidence for the kind of content of each row of hd, and the kinds of the best rank.
+_CONTENT = rf"""
 m AS (SELECT page_id, h, text, {_FORM_COUNTS}, len(lines) AS n, len(list_filter(lines, lambda x: length(x) <= 40 AND regexp_matches(x, '[0-9]') AND regexp_matches(x, '{P.NUMERIC_LINE}'))) AS num,
   len(list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '\|.*\||\t.*\t'))) AS piped, {_sql_contained('text', P.CONTACT_WORDS)} + len(regexp_extract_all(text, '{P.EMAIL}')) AS contacts,
   len(regexp_extract_all(text, '{P.DEFINED_TERM}')) AS defined, len(list_filter(lines, lambda x: regexp_matches(x, '(?i)^step\s*[0-9]+\b'))) AS steps, {_sql_contained('text', P.COMPLIANCE_PHRASES)} AS compliance FROM hd),
@@ -211,8 +212,8 @@ e AS (SELECT page_id, list_filter([
   CASE WHEN compliance > 0 AND length(text) < 400 THEN {{'kind': 'disclaimer', 'rank': 2, 'basis': 'compliance_phrase'}} END], lambda x: x IS NOT NULL)
   || list_transform(h, lambda x: {{'kind': {_sql_by_heading('x', 2)}, 'rank': 2, 'basis': 'heading:' || x}}) AS e FROM m),
 b AS (SELECT page_id, e, list_max(list_transform(e, lambda x: x.rank)) AS best FROM e),
-t AS (SELECT page_id, e, list_distinct(list_transform(list_filter(e, lambda x: x.rank = best), lambda x: x.kind)) AS top FROM b)
-SELECT page_id, CASE WHEN len(e) = 0 THEN 'unknown' WHEN len(top) = 1 THEN top[1] ELSE 'mixed' END AS kind, array_to_string(list_transform(e, lambda x: x.basis), '|') AS basis FROM t"""
+t AS (SELECT page_id, e, list_distinct(list_transform(list_filter(e, lambda x: x.rank = best), lambda x: x.kind)) AS top FROM b)"""
+CONTENT_KINDS = f"WITH p AS (SELECT DISTINCT page_id, text FROM page_records), {_HEADINGS}, {_CONTENT} SELECT page_id, CASE WHEN len(e) = 0 THEN 'unknown' WHEN len(top) = 1 THEN top[1] ELSE 'mixed' END AS kind, array_to_string(list_transform(e, lambda x: x.basis), '|') AS basis FROM t"
 
 
 def plan_and_product_codes(spark: SparkSession, folder: str) -> DataFrame:
@@ -493,8 +494,7 @@ def printed_page_numbers(spark: SparkSession, folder: str) -> DataFrame:
     return cleaning.page_number_lines(lines)
 
 
-PRINTED_PAGE_NUMBERS = rf"""
-WITH {_LINES}, {_FULL},
+_NUMBERED = rf"""
 x AS (SELECT *, {_sq('line')} AS p, CASE WHEN up = 1 THEN lead(line) OVER w ELSE lag(line) OVER w END AS inner_line FROM f WINDOW w AS (PARTITION BY file, page_no ORDER BY line_no)),
 c AS (SELECT file, page_no, line_no, line, CAST(regexp_extract(line, '[0-9]+') AS INTEGER) AS printed, regexp_matches(p, '(?i)^page [0-9]+(?: of [0-9]+)?$|^- ?[0-9]+ ?-$') AS labelled, CASE WHEN up = 1 AND n > 1 THEN 'top' ELSE 'bottom' END AS edge
   FROM x WHERE (up = 1 OR up = n) AND (regexp_matches(p, '(?i)^page [0-9]+(?: of [0-9]+)?$|^- ?[0-9]+ ?-$') OR (regexp_matches(p, '^[0-9]{{1,4}}$') AND NOT coalesce(regexp_matches({_sq('inner_line')}, '^[0-9]+$'), FALSE)))),
@@ -502,8 +502,8 @@ o AS (SELECT file, edge, printed - page_no AS off, count(*) AS pages, min(page_n
 b AS (SELECT DISTINCT ON (file, edge) file, edge, off, pages FROM o ORDER BY file, edge, pages DESC, seen),
 k AS (SELECT file, count(DISTINCT page_no) AS numbered FROM l WHERE page_no IS NOT NULL GROUP BY file),
 q AS (SELECT b.file, b.edge, b.off FROM b JOIN k USING (file) WHERE pages >= greatest(3, ceil(0.3 * numbered))),
-z AS (SELECT c.file, c.page_no, c.line_no, c.line, CASE WHEN labelled OR abs(printed - page_no - off) = 0 THEN 'remove' WHEN abs(printed - page_no - off) <= 2 THEN 'flag' END AS decision FROM c LEFT JOIN q ON c.file = q.file AND c.edge = q.edge)
-SELECT file, page_no, CAST(line_no AS INTEGER) AS line_no, line, decision FROM z WHERE decision IS NOT NULL"""
+z AS (SELECT c.file, c.page_no, c.line_no, c.line, CASE WHEN labelled OR abs(printed - page_no - off) = 0 THEN 'remove' WHEN abs(printed - page_no - off) <= 2 THEN 'flag' END AS decision FROM c LEFT JOIN q ON c.file = q.file AND c.edge = q.edge)"""
+PRINTED_PAGE_NUMBERS = f"WITH {_LINES}, {_FULL}, {_NUMBERED} SELECT file, page_no, CAST(line_no AS INTEGER) AS line_no, line, decision FROM z WHERE decision IS NOT NULL"
 
 
 def cleaning_integrity(spark: SparkSession, folder: str) -> DataFrame:
@@ -512,7 +512,86 @@ def cleaning_integrity(spark: SparkSession, folder: str) -> DataFrame:
     return cleaning.integrity(raw, cleaning.cleaned_text(raw, removed=removed), removed)
 
 
-CLEANING_INTEGRITY = r"SELECT DISTINCT file, 'OK' AS verdict FROM raw_text WHERE regexp_replace(text, '\s', '', 'g') <> ''"
+#: The lines that the cleaning takes out: banners on later pages than the first, then page numbers among the lines that are left.
+_REMOVED = f"""
+{_LINES}, {_FULL}, ed AS (SELECT file, page_no, line_no, line, {_sq('line')} AS banner, CASE WHEN up <= 2 THEN 'top' ELSE 'bottom' END AS edge FROM f WHERE n >= 6 AND (up <= 2 OR up > n - 2)),
+el AS (SELECT file, count(DISTINCT page_no) AS eligible FROM ed GROUP BY file), sn AS (SELECT file, edge, banner, count(DISTINCT page_no) AS pages FROM ed GROUP BY ALL),
+ap AS (SELECT file, edge, banner FROM sn JOIN el USING (file) WHERE pages >= greatest(4, ceil(0.6 * eligible)) AND length(banner) <= 60 AND len(string_split(banner, ' ')) <= 8 AND NOT regexp_matches(banner, '[.:;,]$') AND NOT regexp_matches(banner, '[0-9]')),
+fp AS (SELECT file, min(page_no) AS first FROM l WHERE page_no IS NOT NULL GROUP BY file),
+gb AS (SELECT ed.file, ed.line_no, ed.line FROM ed JOIN fp USING (file) JOIN ap ON ed.file = ap.file AND ed.edge = ap.edge AND ed.banner = ap.banner WHERE page_no > first),
+lr AS (SELECT * FROM l ANTI JOIN gb USING (file, line_no)),
+fr AS (SELECT *, row_number() OVER (PARTITION BY file, page_no ORDER BY line_no) AS up, count(*) OVER (PARTITION BY file, page_no) AS n FROM lr WHERE page_no IS NOT NULL AND trim(line) <> ''),
+{_NUMBERED.replace('FROM f WINDOW', 'FROM fr WINDOW').replace('FROM l WHERE', 'FROM lr WHERE')},
+gone AS (SELECT file, line_no, line FROM gb UNION ALL SELECT file, line_no, line FROM z WHERE decision = 'remove'),
+kept AS (SELECT file, regexp_replace(string_agg(regexp_replace(line, '[ \t]+$', ''), chr(10) ORDER BY line_no), '\n(?:[ \t]*\n){{2,}}', chr(10) || chr(10), 'g') AS text FROM l0 ANTI JOIN gone USING (file, line_no) GROUP BY file),
+taken AS (SELECT file, count(*) AS lines_removed, string_agg(line, '') AS taken FROM gone GROUP BY file),
+proof AS (SELECT r.file, list_sort(string_split(regexp_replace(r.text, '\\s', '', 'g'), '')) = list_sort(string_split(regexp_replace(coalesce(kept.text, '') || coalesce(taken, ''), '\\s', '', 'g'), '')) AS same,
+  r.text AS raw, coalesce(kept.text, '') AS cleaned, coalesce(lines_removed, 0) AS lines_removed FROM r LEFT JOIN kept USING (file) LEFT JOIN taken USING (file))"""
+CLEANING_INTEGRITY = f"WITH {_REMOVED} SELECT file, CASE WHEN same THEN 'OK' ELSE 'MISMATCH' END AS verdict FROM proof WHERE regexp_matches(raw, '\\S')"
+
+
+def cleaning_report(spark: SparkSession, folder: str) -> DataFrame:
+    return assembly.cleaning_report(table(spark, folder, "raw_text")).select("file", "pages", "chars_raw", "chars_cleaned", "lines_removed", "integrity_check")
+
+
+CLEANING_REPORT = f"""
+WITH {_REMOVED}, n AS (SELECT file, count(DISTINCT page_no) AS pages FROM l WHERE page_no IS NOT NULL GROUP BY file)
+SELECT file, CAST(coalesce(pages, 0) AS INTEGER) AS pages, length(raw) AS chars_raw, length(cleaned) AS chars_cleaned, CAST(lines_removed AS INTEGER) AS lines_removed, CASE WHEN same THEN 'OK' ELSE 'MISMATCH' END AS integrity_check FROM proof LEFT JOIN n USING (file)"""
+
+
+def structured_pages(spark: SparkSession, folder: str) -> DataFrame:
+    found = assembly.page_records(table(spark, folder, "raw_text"), table(spark, folder, "document_metadata"))
+    shown = ("file", "page_number", "page_id", "previous_page_id", "next_page_id", "section", "section_at_page_start", "language", "table_signal", "form_signal", "content_type", "char_count", "word_count", "line_count", "text_hash")
+    return found.select(*shown)
+
+
+_PAGE_LINE = r"(?i)^[ \t]*---[ \t]*page[ \t]+[0-9]+[ \t]*---[ \t]*$"
+STRUCTURED_PAGES = rf"""
+WITH {_META}, rr AS (SELECT DISTINCT file, text FROM raw_text WHERE text IS NOT NULL), f AS (SELECT DISTINCT file FROM rr WHERE file IS NOT NULL),
+s AS (SELECT {_STEM.replace('{0}', 'filename')} AS stem, min(source_id) AS stem_source FROM m GROUP BY 1),
+i AS (SELECT {_ID.replace('{0}', 'source_id')} AS id, min(source_id) AS id_source FROM m GROUP BY 1 HAVING count(DISTINCT source_id) = 1),
+src AS (SELECT file, coalesce(stem_source, id_source, {_STEM.replace('{0}', 'file')}) AS source FROM f LEFT JOIN s ON {_STEM.replace('{0}', 'file')} = stem LEFT JOIN i ON {_ID.replace('{0}', 'file')} = id),
+ln AS (SELECT file, text AS whole, unnest(string_split(text, chr(10))) AS line, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS line_no FROM rr),
+mk AS (SELECT *, CASE WHEN regexp_matches(line, '{_PAGE_LINE}') THEN CAST(regexp_extract(line, '[0-9]+') AS INTEGER) END AS mark FROM ln),
+nb AS (SELECT *, count(mark) OVER (PARTITION BY file, whole ORDER BY line_no) AS place FROM mk),
+pg AS (SELECT file, whole, place, max(mark) AS page_number, coalesce(regexp_replace(string_agg(line, chr(10) ORDER BY line_no) FILTER (WHERE mark IS NULL), '^\n+|\n+$', '', 'g'), '') AS text FROM nb WHERE place > 0 GROUP BY ALL),
+p AS (SELECT row_number() OVER () AS page_id, file, source, place, page_number, text FROM pg LEFT JOIN src USING (file)),
+{_HEADINGS}, {_CONTENT.replace('m AS (', 'mc AS (', 1).replace(' FROM m)', ' FROM mc)')},
+x AS (SELECT hd.file, hd.source, hd.place, hd.page_number, hd.source || '-p' || hd.page_number AS page_id, coalesce(hd.h[1], list_filter(hd.lines, lambda x: length(x) <= 80 AND regexp_matches(x, '{P.STRUCTURAL}'))[1]) AS section, hd.text, sha256(hd.text) AS text_hash,
+  length(regexp_replace(hd.text, '[^\p{{L}}]', '', 'g')) AS a, length(regexp_replace(regexp_replace(hd.text, '[^\p{{L}}]', '', 'g'), '[^\x{{0900}}-\x{{097F}}]', '', 'g')) AS d, length(regexp_replace(hd.text, '[^A-Za-z]', '', 'g')) AS l,
+  n, num, piped, blanks, labels, signatures, regexp_matches(hd.text, '{P.TABLE_TITLE}') AS titled, CASE WHEN len(e) = 0 THEN 'unknown' WHEN len(top) = 1 THEN top[1] ELSE 'mixed' END AS content_type
+  FROM hd JOIN mc USING (page_id) JOIN t USING (page_id))
+SELECT file, page_number, page_id, lag(page_id) OVER w AS previous_page_id, lead(page_id) OVER w AS next_page_id, section,
+  last_value(section IGNORE NULLS) OVER (PARTITION BY source ORDER BY page_number, place, text_hash ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS section_at_page_start,
+  CASE WHEN a < 15 THEN 'Unknown' WHEN d >= 0.7 * a THEN 'Hindi' WHEN d >= 5 AND d >= 0.03 * a THEN 'Mixed' WHEN l >= 0.8 * a THEN 'English' ELSE 'Unknown' END AS language,
+  CASE WHEN (num >= 12 AND num >= 0.35 * n) OR piped >= 3 THEN 'table' WHEN (num >= 6 AND num >= 0.2 * n) OR (titled AND num >= 4) THEN 'possible' ELSE 'none' END AS table_signal,
+  CASE WHEN blanks >= 3 OR (blanks >= 1 AND signatures >= 2) THEN 'form' WHEN blanks >= 1 OR labels >= 3 THEN 'possible' ELSE 'none' END AS form_signal, content_type, length(text) AS char_count,
+  CAST(CASE WHEN {_sq('text')} = '' THEN 0 ELSE len(string_split({_sq('text')}, ' ')) END AS INTEGER) AS word_count, CAST(CASE WHEN text = '' THEN 0 ELSE len(string_split(text, chr(10))) END AS INTEGER) AS line_count, text_hash
+FROM x WINDOW w AS (PARTITION BY source ORDER BY page_number, place, text_hash)"""
+
+
+def chunk_corpus(spark: SparkSession, folder: str) -> DataFrame:
+    chunks = assembly.chunk_corpus(_pages(spark, folder), table(spark, folder, "web_texts"))
+    return chunks.select("source_type", "parent", "chunk_index", "words", "text_hash")
+
+
+_WINDOWED = f"""
+t AS (SELECT DISTINCT 'pdf' AS source_type, page_id AS parent, text FROM page_records UNION SELECT DISTINCT 'web', text_file, text FROM web_texts),
+w AS (SELECT source_type, parent, list_filter(string_split({_sq('text')}, ' '), lambda w: w <> '') AS w FROM t),
+i AS (SELECT source_type, parent, w, unnest(range(0, greatest(0, CAST(ceil((len(w) - 218) / 168.0) AS BIGINT)) + 1)) AS chunk_index FROM w WHERE len(w) > 0),
+s AS (SELECT source_type, parent, chunk_index, w[chunk_index * 168 + 1 : chunk_index * 168 + 218] AS part FROM i),
+h AS (SELECT source_type, parent, CAST(chunk_index AS INTEGER) AS chunk_index, CAST(len(part) AS INTEGER) AS words, sha256(array_to_string(part, ' ')) AS text_hash FROM s),
+k AS (SELECT DISTINCT ON (text_hash) * FROM h ORDER BY text_hash, source_type, parent, chunk_index)"""
+CHUNK_CORPUS = f"WITH {_WINDOWED} SELECT * FROM k"
+
+
+def chunk_corpus_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Chunks and words that are left for each kind of source, and in how many parents."""
+    chunks = assembly.chunk_corpus(_pages(spark, folder), table(spark, folder, "web_texts"))
+    return chunks.groupBy("source_type").agg(F.count("*").alias("chunks"), F.sum("words").alias("words"), F.count_distinct("parent").alias("parents"))
+
+
+CHUNK_CORPUS_COUNTS = f"WITH {_WINDOWED} SELECT source_type, count(*) AS chunks, CAST(sum(words) AS BIGINT) AS words, count(DISTINCT parent) AS parents FROM k GROUP BY source_type"
 
 
 def blank_lines_collapsed(spark: SparkSession, folder: str) -> DataFrame:
@@ -596,6 +675,7 @@ NAMES = (
     "duplicate_page_ids", "exact_classes", "ordered_dedup", "round_robin_sample", "null_counts", "reason_histogram", "source_summary", "review_queue",
     "priority_rollup", "category_counts", "record_problems", "chunk_windows", "chunk_pack", "chunk_token_stats", "near_duplicates", "containment_pairs",
     "banners", "printed_page_numbers", "cleaning_integrity", "blank_lines_collapsed", "cleaning_totals", "latest_fetches", "texts_never_stored", "fetch_status", "web_page_records", "issue_categories", "paged_texts",
+    "cleaning_report", "structured_pages", "chunk_corpus", "chunk_corpus_counts",
 )
 QUERIES = {n: globals()[n] for n in NAMES}
 SQL = {n: globals()[n.upper()] for n in NAMES if n.upper() in globals()}
