@@ -86,6 +86,22 @@ def top_k(corpus: DataFrame, queries: DataFrame, k: int = 5, key: str = "vec_id"
     return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("query_id", "rank", "hit", F.round("score", 4).alias("score"))
 
 
+def checked_requests(requests: DataFrame, query: str = "query", k: str = "top_k", most: int = 10, usual: int = 5) -> DataFrame:
+    """`requests` with the query trimmed, top_k (`usual` where none is given) and problem: empty_query, top_k_out_of_range or null."""
+    wanted = F.coalesce(F.col(k), F.lit(usual))
+    text = F.trim(F.regexp_replace(F.coalesce(F.col(query), F.lit("")), r"^\s+|\s+$", ""))
+    problem = F.when(text == "", "empty_query").when((wanted < 1) | (wanted > most), "top_k_out_of_range")
+    return requests.withColumn(query, text).withColumn(k, wanted).withColumn("problem", problem)
+
+
+def evaluation_rows(hits: DataFrame, payload: DataFrame, expected: DataFrame, key: str = "vec_id", category: str = "label") -> DataFrame:
+    """(query_id, rank, score, hit, category, expected, right): each hit with its payload's category and whether it is the query's own; hits without payload stay, with nulls."""
+    about = payload.select(F.col(key).alias("_h"), F.col(category).alias("category"))
+    wanted = expected.select(F.col(key).alias("_q"), F.col(category).alias("expected"))
+    joined = hits.join(about, F.col("hit") == F.col("_h"), "left").join(wanted, F.col("query_id") == F.col("_q"), "left")
+    return joined.select("query_id", "rank", "score", "hit", "category", "expected", F.coalesce(F.col("category") == F.col("expected"), F.lit(False)).alias("right"))
+
+
 def inverted_file(corpus: DataFrame, cells: int | None = None, sample: int = 100_000, seed: int = 3, vector: str = "embedding") -> np.ndarray:
     """Cell centres fitted by k-means on a random sample of about `sample` rows. There are about sqrt(n) cells unless told otherwise, but no
     more than a 20th of the sample, so that what tasks are sent has a bound."""

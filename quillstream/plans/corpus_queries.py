@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quillstream.functions import pages as P
 from quillstream.functions import text as T
-from quillstream.operators import assembly, chunking, cleaning, corpus, overlap
+from quillstream.operators import assembly, chunking, cleaning, corpus, overlap, reports
 from quillstream.session import cut, table
 from quillstream.sources import records
 
@@ -668,8 +668,76 @@ WITH p AS (SELECT DISTINCT filename, page_number, coalesce(text, '') AS text FRO
 t AS (SELECT filename, string_agg('--- PAGE ' || page_number || ' ---' || chr(10) || text || chr(10), chr(10) ORDER BY page_number, text) AS t FROM p GROUP BY filename)
 SELECT filename, sha256(t) AS text_hash, length(t) AS chars FROM t"""
 
+
+
+def _issues(spark: SparkSession, folder: str) -> DataFrame:
+    return reports.page_issues(_pages(spark, folder), table(spark, folder, "document_metadata"), FIELDS)
+
+
+_PAGE_ISSUES = f"""
+WITH u AS (SELECT DISTINCT source_id, page_id FROM page_records WHERE page_id IS NOT NULL), md AS ({METADATA_DIFFERENCES}),
+q AS (SELECT u.source_id, page_id, 'metadata_row_missing' AS issue FROM u WHERE source_id IS NOT NULL AND source_id NOT IN (SELECT source_id FROM document_metadata WHERE source_id IS NOT NULL)
+  UNION ALL SELECT u.source_id, page_id, i FROM u JOIN (SELECT DISTINCT source_id, issue || ':' || field AS i FROM md) d ON u.source_id = d.source_id
+  UNION ALL SELECT u.source_id, page_id, 'duplicate_page_id' FROM u WHERE page_id IN (SELECT page_id FROM page_records GROUP BY page_id HAVING count(*) > 1))"""
+
+
+def page_issue_lists(spark: SparkSession, folder: str) -> DataFrame:
+    pages = _pages(spark, folder).select("source_id", "page_id").distinct()
+    return reports.with_issues(pages, _issues(spark, folder)).select("source_id", "page_id", F.array_join("issues", "|").alias("issues"))
+
+
+PAGE_ISSUE_LISTS = f"{_PAGE_ISSUES} SELECT u.source_id, u.page_id, coalesce(string_agg(DISTINCT issue, '|' ORDER BY issue), '') AS issues FROM (SELECT DISTINCT source_id, page_id FROM page_records) u LEFT JOIN q USING (page_id) GROUP BY u.source_id, u.page_id"
+
+
+def issue_examples(spark: SparkSession, folder: str) -> DataFrame:
+    return reports.examples(_issues(spark, folder), "issue", "source_id", "page_id").withColumn("examples", F.array_join("examples", "|"))
+
+
+ISSUE_EXAMPLES = f"""{_PAGE_ISSUES}, x AS (SELECT issue, page_id FROM (SELECT DISTINCT issue, page_id FROM q) QUALIFY row_number() OVER (PARTITION BY issue ORDER BY page_id) <= 3)
+SELECT q.issue, count(*) AS n, count(DISTINCT source_id) AS sources, any_value(e) AS examples FROM q JOIN (SELECT issue, string_agg(page_id, '|' ORDER BY page_id) AS e FROM x GROUP BY issue) y ON q.issue = y.issue GROUP BY q.issue"""
+
+
+def ranked_reasons(spark: SparkSession, folder: str) -> DataFrame:
+    return reports.ranked_counts(_pages(spark, folder).select(F.explode("review_reasons").alias("reason")), "reason")
+
+
+RANKED_REASONS = "SELECT CAST(row_number() OVER (ORDER BY count(*) DESC, r) AS INTEGER) AS place, r AS reason, count(*) AS n FROM (SELECT unnest(review_reasons) AS r FROM page_records) GROUP BY r"
+
+
+def pages_by_status(spark: SparkSession, folder: str) -> DataFrame:
+    """The first ten pages of each personal-data status, statuses in their order."""
+    pages = _pages(spark, folder).select("pii_status", "source_id", "page_number", "page_id").distinct()
+    return reports.by_status(reports.first_rows(pages, ["pii_status"], [F.col("source_id"), F.col("page_number"), F.col("page_id")], 10))
+
+
+PAGES_BY_STATUS = f"""
+SELECT *, CAST(coalesce(list_position({_sql_list(reports.STATUS_ORDER)}, pii_status), {len(reports.STATUS_ORDER) + 1}) AS INTEGER) AS status_rank FROM (SELECT DISTINCT pii_status, source_id, page_number, page_id FROM page_records)
+QUALIFY row_number() OVER (PARTITION BY pii_status ORDER BY source_id NULLS FIRST, page_number NULLS FIRST, page_id NULLS FIRST) <= 10"""
+
+
+def scan_confusions(spark: SparkSession, folder: str) -> DataFrame:
+    found = _once(table(spark, folder, "raw_text"), "file", T.digit_confusions(F.col("text")).alias("c"), F.regexp_count("text", F.lit(T.HARD_CORRUPTION)).alias("broken"))
+    return found.select("file", F.size("c").alias("confused"), "broken").where("confused > 0 or broken > 0")
+
+
+SCAN_CONFUSIONS = r"""
+WITH c AS (SELECT file, len(list_filter(regexp_extract_all(text, '\b[0-9OIlSB][0-9OIlSB,./-]+[0-9OIlSB]\b'), lambda x: regexp_matches(x, '[0-9]') AND regexp_matches(x, '[OIlSB]'))) AS confused,
+  len(regexp_extract_all(text, '\x{FFFD}|\(cid:[0-9]+\)')) AS broken FROM (SELECT DISTINCT file, text FROM raw_text))
+SELECT file, CAST(confused AS INTEGER) AS confused, CAST(broken AS INTEGER) AS broken FROM c WHERE confused > 0 OR broken > 0"""
+
+
+def web_page_checks(spark: SparkSession, folder: str) -> DataFrame:
+    text = F.col("text")
+    return _once(table(spark, folder, "web_texts"), "text_file", P.web_personal_status(text).alias("pii_status"), P.web_flags(text).alias("f")).select("text_file", "pii_status", "f.*")
+
+
+WEB_PAGE_CHECKS = rf"""
+SELECT text_file, CASE WHEN {_KINDS_FOUND} > 0 THEN 'possible_pii' WHEN {_sql_contained('text', P.WEB_FIELDS)} > 0 THEN 'template_fields' ELSE 'none' END AS pii_status,
+  len(list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '\|.*\||\t.*\t'))) >= 3 OR {_sql_contained('text', P.WEB_TABLE_WORDS)} >= 2 AS contains_table, {_sql_contained('text', P.WEB_FORM_WORDS)} >= 2 AS contains_form
+FROM (SELECT DISTINCT text_file, text FROM web_texts)"""
+
 NAMES = (
-    "page_text_stats", "page_hash_check", "spoken_forms", "script_labels", "normalised_documents", "empty_pages", "extraction_anomalies", "page_headings", "page_tables",
+    "page_issue_lists", "issue_examples", "ranked_reasons", "pages_by_status", "scan_confusions", "web_page_checks", "page_text_stats", "page_hash_check", "spoken_forms", "script_labels", "normalised_documents", "empty_pages", "extraction_anomalies", "page_headings", "page_tables",
     "page_forms", "page_keywords", "personal_data_status", "redacted_previews", "content_kinds", "plan_and_product_codes", "code_summary", "file_metadata_match",
     "sources_without_metadata", "metadata_without_pages", "metadata_differences", "differing_fields", "page_neighbours", "section_carried", "page_gaps",
     "duplicate_page_ids", "exact_classes", "ordered_dedup", "round_robin_sample", "null_counts", "reason_histogram", "source_summary", "review_queue",

@@ -61,6 +61,16 @@ WITH {_SCORED.format(where='')} SELECT query_id, '{{"rank":' || rank || ',"score
 FROM r JOIN embeddings e ON e.vec_id = r.hit WHERE rank <= 5"""
 
 
+def evaluation_rows(spark: SparkSession, folder: str) -> DataFrame:
+    e = _embeddings(spark, folder)
+    return vectors.evaluation_rows(vectors.top_k(e, _queries(e)), e, e)
+
+
+EVALUATION_ROWS = f"""
+WITH {_SCORED.format(where='')} SELECT query_id, CAST(rank AS INTEGER) AS rank, score, hit, h.label AS category, q0.label AS expected, h.label = q0.label AS right
+FROM r JOIN embeddings h ON h.vec_id = hit JOIN embeddings q0 ON q0.vec_id = query_id WHERE rank <= 5"""
+
+
 def index_recall(spark: SparkSession, folder: str) -> DataFrame:
     e = _embeddings(spark, folder)
     centres = vectors.inverted_file(e)
@@ -176,8 +186,17 @@ def stream_cooldown(spark: SparkSession, folder: str) -> DataFrame:
 
 STREAM_COOLDOWN = EVENT_COOLDOWN
 
+
+def stream_transcripts(spark: SparkSession, folder: str) -> DataFrame:
+    """Each user's events of a kind as one transcript, in the order of their times."""
+    e = table(spark, folder, "events")
+    return signals.transcripts(e.withColumn("at", F.struct("ts", "event_id")), "user_id", "at", "event_type")
+
+
+STREAM_TRANSCRIPTS = "SELECT user_id, string_agg(trim(event_type), ' ' ORDER BY ts, event_id) AS transcript FROM events WHERE trim(event_type) <> '' GROUP BY user_id"
+
 NAMES = (
-    "vector_topk", "vector_topk_filtered", "vector_norm_check", "search_results", "index_recall", "event_cooldown", "event_cooldown_counts", "event_percentiles",
+    "vector_topk", "vector_topk_filtered", "vector_norm_check", "search_results", "evaluation_rows", "index_recall", "stream_transcripts", "event_cooldown", "event_cooldown_counts", "event_percentiles",
     "event_windows", "signal_detect", "signal_first", "signal_gate", "stream_cooldown",
 )
 QUERIES = {n: globals()[n] for n in NAMES}
