@@ -6,7 +6,7 @@ import hashlib
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable
 from functools import lru_cache
 
 import pyarrow as pa
@@ -15,9 +15,10 @@ from pyspark.sql import functions as F
 
 from quillstream.session import cut
 
-#: A line is a type of the corpus if it stands on this share of all pages, or on this share of one host's pages, and on LEAST pages. So
-#: there are at most (lines a page) / SHARE types, which is what the tasks are sent.
+#: A line is a type of the corpus if it stands on this share of all pages, or on this share of one host's pages, and on LEAST pages.
 SHARE, HOST_SHARE, LEAST = 0.0008, 0.01, 3
+#: Pages of one host that are looked at together, beside the types that stand on that host.
+GROUP = 500
 #: Tables and lists are sparser than prose; a section stays down to this part of the threshold.
 SLACK = 0.2
 _SPLIT = r"\s*[|›»>]\s*|\s+/\s+|\s{3,}"
@@ -57,25 +58,32 @@ _short_plain = lru_cache(maxsize=1 << 16)(_any_plain)  # menus and notices come
 
 
 def _pages(texts: DataFrame, manifest: DataFrame) -> DataFrame:
-    """(file, text, host, title): each text once with what the manifest says; of several rows for a file the largest values hold."""
+    """(file, text, host, title, part): each text once with what the manifest says; of several rows for a file the largest values hold. A
+    host's pages fall into parts of about GROUP pages, so that no task has more of a hot host than of others."""
     host = F.lower(F.regexp_extract("url", r"^\w+://([^/:?#]+)", 1))
-    about = manifest.where("text_file is not null").groupBy(F.col("text_file").alias("f")).agg(F.max(host).alias("host"), F.max("title").alias("title"))
-    rows = texts.where("text_file is not null and text is not null").select(F.col("text_file").alias("file"), "text").distinct()
-    return cut(rows.join(about, F.col("file") == F.col("f"), "left").select("file", "text", "host", F.coalesce("title", F.lit("")).alias("title")))
-
-
-def line_types(pages: DataFrame) -> DataFrame:
-    """(type, pages, label): lines, and parts of lines with separators, that are frequent in the corpus or on a host; label tells that pages have it as title or part of one."""
+    about = manifest.where("text_file is not null").groupBy(F.col("text_file").alias("file")).agg(F.max(host).alias("host"), F.max("title").alias("title"))
+    rows = texts.where("text_file is not null and text is not null").select(F.col("text_file").alias("file"), "text")
+    files = rows.select("file").distinct().join(about, "file", "left").select("file", F.coalesce("host", F.lit("")).alias("host"), F.coalesce("title", F.lit("")).alias("title"))
+    sizes = files.groupBy(F.col("host").alias("h")).agg(F.ceil(F.count("*") / GROUP).alias("parts"))
+    placed = files.join(sizes, F.col("host") == F.col("h")).select(F.col("file").alias("f"), "host", "title", F.pmod(F.xxhash64("file"), F.col("parts")).cast("int").alias("part"))
+    whole = rows.join(placed, F.col("file") == F.col("f")).withColumn("copy", F.xxhash64("text")).dropDuplicates(["file", "copy"])
+    return cut(whole.select("file", "text", "host", "title", "part"))
+
+
+def line_types(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(type, pages, label) and (host, type): lines, and parts of lines with separators, that are frequent in the corpus or on a host, and the
+    hosts on which each stands; label tells that pages have it as title or part of one."""
     lines = F.split("text", "\n")
     parts = F.flatten(F.transform(lines, lambda x: F.when(x.rlike(_SPLIT), F.concat(F.array(x), F.split(F.trim(x), _SPLIT))).otherwise(F.array(x))))
     each = pages.select("host", F.explode(F.array_distinct(F.filter(F.transform(parts, _plain), lambda x: x.rlike(r"\p{L}")))).alias("type"))
-    by_host = each.groupBy("type", "host").agg(F.count("*").alias("n"))
+    by_host = cut(each.groupBy("type", "host").agg(F.count("*").alias("n")))
     sizes = pages.groupBy(F.col("host").alias("h")).agg(F.count("*").alias("size"))
     whole = pages.count()
-    share = by_host.join(sizes, F.col("host").eqNullSafe(F.col("h")), "left").groupBy("type").agg(F.sum("n").alias("pages"), F.max(F.when((F.col("n") >= LEAST) & F.col("host").isNotNull(), F.col("n") / F.col("size"))).alias("share"))
+    share = by_host.join(sizes, F.col("host") == F.col("h")).groupBy("type").agg(F.sum("n").alias("pages"), F.max(F.when((F.col("n") >= LEAST) & (F.col("host") != ""), F.col("n") / F.col("size"))).alias("share"))
     often = share.where((F.col("pages") >= LEAST) & ((F.col("pages") >= SHARE * whole) | (F.col("share") >= HOST_SHARE)))
     heads = pages.where("title <> ''").select(F.explode(F.array_distinct(F.transform(F.concat(F.array("title"), F.split("title", " - ")), _plain))).alias("t")).groupBy("t").count().where(F.col("count") >= 2)
-    return often.join(heads, F.col("type") == F.col("t"), "left").select("type", "pages", F.col("t").isNotNull().alias("label"))
+    types = cut(often.join(heads, F.col("type") == F.col("t"), "left").select("type", "pages", F.col("t").isNotNull().alias("label")))
+    return types, by_host.join(types.select("type"), "type", "left_semi").select("host", "type")
 
 
 @lru_cache(maxsize=1 << 16)
@@ -88,17 +96,12 @@ def _is_row(line: str) -> bool:
 class Kinds:
     """What the corpus says of a line: `link` for furniture, `label` for what is a heading here and a link there, `body`, or nothing."""
 
-    def __init__(self, types: list[tuple[str, int, bool]], spoken: dict[str, int], captions: set[str]):
-        self.label = {t for t, _, label in types if label}
-        self.link, self.body = set(), set()
-        self.captions = captions
+    def __init__(self, types: list[tuple[str, str, bool]]):
+        self.label = {t for t, kind, _ in types if kind == "label"}
+        self.link = {t for t, kind, _ in types if kind == "link"}
+        self.body = {t for t, kind, _ in types if kind == "body"}
+        self.captions = {t for t, _, caption in types if caption}
         self._seen: dict[str, str] = {}
-        heads = tuple(x + " " for x in self.label)
-        for t, n, label in types:
-            if not label:
-                item = "#" in t and t.startswith(heads)
-                said = spoken.get(t, 0) >= max(1 if len(t) >= 40 and t[-1] in _ENDS else 2, 0.02 * n) and " " in t
-                (self.body if item or said else self.link).add(t)
 
     def of(self, line: str) -> str:
         if len(line) > 100:
@@ -130,73 +133,74 @@ def _is_prose(line: str) -> bool:
     return len(line) >= 40 and not _SPLITTER.search(line.strip())
 
 
-def _follower(candidates: frozenset[str]):
-    """Counts (type, what, n) for the candidates: how often one comes right after prose or after another."""
-
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            count: Counter = Counter()
-            for text in batch.column("text").to_pylist():
-                good = False
-                for x in text.split("\n"):
-                    if x.strip():
-                        key = plain(x)
-                        if key in candidates:
-                            count[key] += good
-                            good = True
-                        else:
-                            good = _is_prose(x)
-            yield pa.RecordBatch.from_arrays([pa.array(list(count), pa.string()), pa.array(["near"] * len(count), pa.string()), pa.array(list(count.values()), pa.int64())], names=["type", "what", "n"])
-
-    return scan
-
-
-def _scanner(types: list[tuple[str, int, bool]]):
-    """Counts (type, what, n): in how many other, longer lines a type stands word for word, how often two labels follow it, and how often it follows prose."""
-
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import ahocorasick
-
-        known = {t: label for t, _, label in types}
-        search = ahocorasick.Automaton()
-        for t, label in known.items():
-            if not label and " " in t:
-                search.add_word(t, t)
-        search.make_automaton()
-        for batch in batches:
-            count: Counter = Counter()
-            for text in batch.column("text").to_pylist():
-                lines = [x for x in text.split("\n") if x.strip()]
-                keys = [plain(x) for x in lines]
-                for k, key in enumerate(keys):
-                    if key in known:
-                        if not known[key]:
-                            count[key, "follow"] += known.get(keys[k + 1] if k + 1 < len(keys) else "", False) and known.get(keys[k + 2] if k + 2 < len(keys) else "", False)
-                            count[key, "lines"] += 1
-                            count[key, "after"] += k > 0 and keys[k - 1] not in known and _is_prose(lines[k - 1])
-                    elif len(search) and len(key) >= 50 and _is_prose(lines[k]):
-                        found = {t for end, t in search.iter(key) if len(t) + 10 <= len(key) and not key[end + 1 : end + 2].isalnum() and not key[end - len(t) : end - len(t) + 1].isalnum()}
-                        for t in found:
-                            count[t, "said"] += 1
-            rows = [(t, what, n) for (t, what), n in count.items() if n]
-            cols = list(zip(*rows, strict=True)) or [()] * 3
-            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), pa.array(cols[1], pa.string()), pa.array(cols[2], pa.int64())], names=["type", "what", "n"])
-
-    return scan
-
-
-def learn(pages: DataFrame) -> Kinds:
-    """The corpus's line types with their link weights. The table of types has a bounded size (see SHARE) and is what the driver holds."""
-    types = [(r["type"], r["pages"], r["label"]) for r in line_types(pages).collect()]
-    counts = pages.select("text").mapInArrow(_scanner(types), "type string, what string, n long").groupBy("type").pivot("what", ["said", "follow", "lines", "after"]).agg(F.sum("n")).collect()
-    said = {r["type"]: r["said"] or 0 for r in counts}
-    captions = {r["type"] for r in counts if (r["lines"] or 0) >= 2 and (r["follow"] or 0) >= 0.6 * r["lines"]}
-    lines = {r["type"]: r["lines"] or 0 for r in counts}
-    sentences = frozenset(r["type"] for r in counts if len(r["type"]) >= 40 and r["type"][-1] in _ENDS and lines[r["type"]] and (r["after"] or 0) >= 0.2 * lines[r["type"]])
-    if sentences:  # sentences that many pages share, and only ever in the course of their prose, are part of it
-        near = pages.select("text").mapInArrow(_follower(sentences), "type string, what string, n long").groupBy("type").agg(F.sum("n").alias("n")).collect()
-        said |= {r["type"]: lines[r["type"]] for r in near if (r["n"] or 0) >= 0.9 * lines[r["type"]]}
-    return Kinds(types, said, captions)
+def _is_sentence(key: str) -> bool:
+    return len(key) >= 40 and key[-1] in _ENDS
+
+
+def _scan(pages: pa.Table, types: pa.Table) -> pa.Table:
+    """Counts (type, said, follow, lines, after, near): in how many other, longer lines a type stands word for word, how often two labels
+    follow it, how often it comes, how often right after prose, and how often, being a sentence, after prose or another such sentence."""
+    import ahocorasick
+
+    known = dict(zip(types["type"].to_pylist(), types["label"].to_pylist(), strict=True))
+    search = ahocorasick.Automaton()
+    for t, label in known.items():
+        if not label and " " in t:
+            search.add_word(t, t)
+    search.make_automaton()
+    count: Counter = Counter()
+    for text in pages["text"].to_pylist():
+        lines = [x for x in text.split("\n") if x.strip()]
+        keys = [plain(x) for x in lines]
+        good = False
+        for k, key in enumerate(keys):
+            label = known.get(key)
+            if label is False:
+                count[key, "follow"] += known.get(keys[k + 1] if k + 1 < len(keys) else "", False) and known.get(keys[k + 2] if k + 2 < len(keys) else "", False)
+                count[key, "lines"] += 1
+                count[key, "after"] += k > 0 and keys[k - 1] not in known and _is_prose(lines[k - 1])
+                if _is_sentence(key):
+                    count[key, "near"] += good
+            elif label is None and len(search) and len(key) >= 50 and _is_prose(lines[k]):
+                for t in {t for end, t in search.iter(key) if len(t) + 10 <= len(key) and not key[end + 1 : end + 2].isalnum() and not key[end - len(t) : end - len(t) + 1].isalnum()}:
+                    count[t, "said"] += 1
+            good = _is_prose(lines[k]) if label is None else label is False and _is_sentence(key)
+    names = sorted({t for t, _ in count})
+    return pa.table({"type": pa.array(names, pa.string())} | {c: pa.array([int(count[t, c]) for t in names], pa.int64()) for c in _COUNTS})
+
+
+_COUNTS = ("said", "follow", "lines", "after", "near")
+
+
+def _beside(pages: DataFrame, hosted: DataFrame, use: Callable[[pa.Table, pa.Table], pa.Table], schema: str) -> DataFrame:
+    """use(pages, types) for each part of a host's pages with the types that stand on this host, shuffled to one place; nothing goes through the driver."""
+    parts = pages.select(F.col("host").alias("_host"), F.col("part").alias("_part")).distinct()
+    types = hosted.join(parts, F.col("host") == F.col("_host")).drop("host")
+    return pages.groupBy("host", "part").cogroup(types.groupBy("_host", "_part")).applyInArrow(use, schema)
+
+
+def learn(pages: DataFrame) -> DataFrame:
+    """(host, type, kind, caption): the corpus's line types with their link weights, on each host where they stand.
+
+    A type is `label` as line_types has it; `body` where prose has it word for word, where it is a sentence that comes in the course of
+    prose only, or an item that begins with a label and has a figure; `link` otherwise. A caption is a type that labels follow.
+    """
+    types, by_host = line_types(pages)
+    counts = _beside(pages.select("host", "part", "text"), by_host.join(types.select("type", "label"), "type"), _scan, "type string, " + ", ".join(f"{c} long" for c in _COUNTS))
+    counts = counts.groupBy(F.col("type").alias("t")).agg(*[F.sum(c).alias(c) for c in _COUNTS])
+    words = F.split("type", " ")
+    heads = F.transform(F.sequence(F.lit(1), F.size(words) - 1), lambda i: F.array_join(F.slice(words, 1, i), " "))
+    begun = types.where("not label and type like '%#%' and type like '% %'").select("type", F.explode(heads).alias("head"))
+    items = begun.join(types.where("label").select(F.col("type").alias("l")), F.col("head") == F.col("l"), "left_semi").select(F.col("type").alias("i")).distinct()
+    both = types.join(counts, F.col("type") == F.col("t"), "left").join(items, F.col("type") == F.col("i"), "left")
+    n = {c: F.coalesce(c, F.lit(0)) for c in _COUNTS}
+    sentence = (F.length("type") >= 40) & F.substring("type", -1, 1).isin(*_ENDS)
+    course = sentence & (n["lines"] > 0) & (n["after"] >= 0.2 * n["lines"]) & (n["near"] >= 0.9 * n["lines"])
+    said = F.when(course, n["lines"]).otherwise(n["said"])
+    spoken = (said >= F.greatest(F.when(sentence, 1.0).otherwise(2.0), 0.02 * F.col("pages"))) & F.contains("type", F.lit(" "))
+    kind = F.when(F.col("label"), "label").when(F.col("i").isNotNull() | spoken, "body").otherwise("link")
+    kinds = both.select("type", kind.alias("kind"), ((n["lines"] >= 2) & (n["follow"] >= 0.6 * n["lines"])).alias("caption"))
+    return cut(by_host.join(kinds, "type"))
 
 
 def _settle(lines: list[str], kinds: list[str], captions: set[str], title: str) -> list[str]:
@@ -292,43 +296,38 @@ def content_lines(text: str, title: str, kinds: Kinds) -> list[tuple[int, bool]]
     return [(n, i in content) for i, (n, _) in enumerate(rows)]
 
 
-def _extractor(kinds: Kinds):
-    def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            files, numbers = [], []
-            for k, (text, title) in enumerate(zip(batch.column("text").to_pylist(), batch.column("title").to_pylist(), strict=True)):
-                for n, main in content_lines(text, title, kinds):
-                    if not main:
-                        files.append(k)
-                        numbers.append(n)
-            yield pa.RecordBatch.from_arrays([batch.column("file").take(pa.array(files, pa.int64())), pa.array(numbers, pa.int32())], names=["text_file", "line_no"])
+def _kinds(types: pa.Table) -> Kinds:
+    return Kinds(list(zip(types["type"].to_pylist(), types["kind"].to_pylist(), types["caption"].to_pylist(), strict=True)))
 
-    return extract
 
+def _furniture(pages: pa.Table, types: pa.Table) -> pa.Table:
+    kinds, files, numbers = _kinds(types), [], []
+    for file, text, title in zip(pages["file"].to_pylist(), pages["text"].to_pylist(), pages["title"].to_pylist(), strict=True):
+        out = [n for n, main in content_lines(text, title, kinds) if not main]
+        files += [file] * len(out)
+        numbers += out
+    return pa.table({"text_file": pa.array(files, pa.string()), "line_no": pa.array(numbers, pa.int32())})
 
-def _main_texts(kinds: Kinds):
-    def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for text, title in zip(batch.column("text").to_pylist(), batch.column("title").to_pylist(), strict=True):
-                lines = text.split("\n")
-                out.append("\n".join(lines[n - 1] for n, main in content_lines(text, title, kinds) if main))
-            yield pa.RecordBatch.from_arrays([batch.column("file"), pa.array(out, pa.string())], names=["text_file", "main_text"])
 
-    return extract
+def _main(pages: pa.Table, types: pa.Table) -> pa.Table:
+    kinds, out = _kinds(types), []
+    for text, title in zip(pages["text"].to_pylist(), pages["title"].to_pylist(), strict=True):
+        lines = text.split("\n")
+        out.append("\n".join(lines[n - 1] for n, main in content_lines(text, title, kinds) if main))
+    return pa.table({"text_file": pages["file"], "main_text": pa.array(out, pa.string())})
 
 
 def furniture_lines(texts: DataFrame, manifest: DataFrame) -> DataFrame:
     """(text_file, line_no): each non-blank line outside its page's main content; line numbers count blank lines, from 1.
 
     Null and empty texts have no line; equal rows count once; a file without a manifest row is judged without title and host; a
-    page of nothing but furniture has no content.
+    page of nothing but furniture has no content; of a file with several texts a line is listed once.
     """
     pages = _pages(texts, manifest)
-    return pages.mapInArrow(_extractor(learn(pages)), "text_file string, line_no int")
+    return _beside(pages, learn(pages), _furniture, "text_file string, line_no int").distinct()
 
 
 def main_texts(texts: DataFrame, manifest: DataFrame) -> DataFrame:
     """(text_file, main_text): the main content of each stored text, line by line."""
     pages = _pages(texts, manifest)
-    return pages.mapInArrow(_main_texts(learn(pages)), "text_file string, main_text string")
+    return _beside(pages, learn(pages), _main, "text_file string, main_text string")
