@@ -19,6 +19,8 @@ from quillstream.session import cut
 SHARE, HOST_SHARE, LEAST = 0.0008, 0.01, 3
 #: Pages of one host that are looked at together, beside the types that stand on that host.
 GROUP = 500
+#: How much of a line counts as linked: labels that head a section or stand by themselves are links most of the time.
+WEIGHTS = {"body": 0.0, "link": 1.0, "head": 0.98, "open": 0.98}
 #: Tables and lists are sparser than prose; a section stays down to this part of the threshold.
 SLACK = 0.2
 _SPLIT = r"\s*[|›»>]\s*|\s+/\s+|\s{3,}"
@@ -38,8 +40,9 @@ LONG = 300
 def _plain(line):
     """Column: a line as a type, without case, digits, bullets, and the marks that menus hang on."""
     x = F.trim(F.regexp_replace(F.lower(line), r"[\s\p{Z}]+", " "))
-    x = F.regexp_replace(F.regexp_replace(x, r"\p{Nd}+", "#"), r"^[-*•·▪–] ", "")
-    x = F.regexp_replace(F.regexp_replace(x, r" ?(?:\+|>|\(#\))$", ""), r"#(?:[/-]#){2}|# \p{L}{3,12} #", "#")
+    x = F.when(x.rlike(r"\p{Nd}"), F.regexp_replace(x, r"\p{Nd}+", "#")).otherwise(x)
+    x = F.regexp_replace(x, r"^[-*•·▪–] | ?(?:\+|>|\(#\))$", "")
+    x = F.when(F.contains(x, F.lit("#")), F.regexp_replace(x, r"#(?:[/-]#){2}|# \p{L}{3,12} #", "#")).otherwise(x)
     return F.when(F.length(x) <= LONG, x).otherwise(F.concat(F.sha2(x, 256), F.substring(x, -1, 1)))
 
 
@@ -204,7 +207,7 @@ def learn(pages: DataFrame) -> DataFrame:
 
 
 def _settle(lines: list[str], kinds: list[str], captions: set[str], title: str) -> list[str]:
-    """Labels and rare lines become body or link by what stands beside them."""
+    """Labels and rare lines become body or link by what stands beside them; or, where that tells nothing, `head` (of the section that follows) or `open`, for the density to decide."""
     out = list(kinds)
     keys = [plain(x) for x in lines]
     n = len(lines)
@@ -215,9 +218,9 @@ def _settle(lines: list[str], kinds: list[str], captions: set[str], title: str)
     for i in range(n):
         if out[i] == "rare":
             near = [out[j] for j in (i - 1, i + 1) if 0 <= j < n]
-            out[i] = "body" if any(k in ("body", "list") for k in near) and "link" not in near else "link"
+            out[i] = "body" if any(k in ("body", "list") for k in near) and "link" not in near else "open"
     first_body = next((i for i, k in enumerate(out) if k in ("body", "list")), n)
-    titles = [i for i in range(n) if title and keys[i] == title and out[i] in ("label", "link", "body")]
+    titles = [i for i in range(n) if title and keys[i] == title and out[i] in ("label", "link", "body", "open")]
     at = max((i for i in titles if i < first_body), default=titles[0] if titles else -1)
     if at >= 0 and (first_body < n):
         out[at] = "title"
@@ -246,14 +249,11 @@ def _settle(lines: list[str], kinds: list[str], captions: set[str], title: str)
         elif caption:
             for j in range(i, end):
                 out[j] = "link"
-        elif after == "body":
-            for j in range(i, end):
-                out[j] = "body"
         else:
             for j in range(i, end):
-                out[j] = "body" if soon and end - i <= 2 else "link"
+                out[j] = "head" if after == "body" or soon and end - i <= 2 else "open"
         i = end
-    return ["body" if k in ("body", "list", "title") else "link" for k in out]
+    return ["body" if k in ("list", "title") else k for k in out]
 
 
 def density(chars: int, tags: int, link_chars: int, link_tags: int, page_chars: int, page_link_chars: int) -> float:
@@ -268,8 +268,8 @@ def density(chars: int, tags: int, link_chars: int, link_tags: int, page_chars:
 def content_lines(text: str, title: str, kinds: Kinds) -> list[tuple[int, bool]]:
     """(line number, whether it is main content) of each line that is not blank.
 
-    The page's tree has lines as leaves (each part between separators is a tag) and, between them and the page, sections: the
-    stretches that links don't interrupt. The section of the largest density sum gives the threshold, SLACK of the least density
+    The page's tree has lines as leaves (each part between separators is a tag, and WEIGHTS tells how much of it is linked) and, between
+    them and the page, sections: the stretches that links don't interrupt, with the labels that head them. The section of the largest density sum gives the threshold, SLACK of the least density
     on the way from it up to the page; content are the sections at or above it. What is all link has no density.
     """
     rows = [(n, x) for n, x in enumerate(text.split("\n"), 1) if x.strip()]
@@ -278,13 +278,20 @@ def content_lines(text: str, title: str, kinds: Kinds) -> list[tuple[int, bool]]
     leaf = []
     for x, kind in zip(lines, settled, strict=True):
         chars, tags = sum(map(len, x.split())), max(1, len([p for p in _SPLITTER.split(x.strip()) if p]))
-        leaf.append((chars, tags, chars if kind == "link" else 0, tags if kind == "link" else 0))
+        leaf.append((chars, tags, chars * WEIGHTS[kind], tags * WEIGHTS[kind]))
     sections: list[list[int]] = []
+    heads: list[int] = []
     for i, kind in enumerate(settled):
-        if sections and settled[i - 1] == kind:
+        if kind == "head":
+            heads.append(i)
+        elif sections and settled[i - 1] == kind:
             sections[-1].append(i)
         else:
             sections.append([i])
+            if kind == "body" and heads:
+                sections[-1], heads = [*heads, i], []
+    if heads:
+        sections.append(heads)
     total = [sum(x[k] for x in leaf) for k in range(4)]
     measure = lambda own: density(*(sum(leaf[i][k] for i in own) for k in range(4)), total[0], total[2])
     sums = [sum(measure([i]) for i in s) for s in sections]

@@ -59,6 +59,25 @@ def test_long_notices_on_every_page(spark):
     assert all((f, 1) in got for f, _ in texts) and not any((f, 6) in got for f, _ in texts)
 
 
+def test_density_decides_labels(monkeypatch):
+    kinds = boilerplate.Kinds([("home", "link", False), ("riders", "label", False), ("nomination", "label", False), ("see also", "link", False)])
+    prose = " ".join(WORDS * 3) + "."
+    text = f"Home\nRiders\n{prose}\n{prose}\nHome\nNomination\nSee also\nHome\nHome\nHome"
+    assert [n for n, main in boilerplate.content_lines(text, "", kinds) if main] == [2, 3, 4]
+    monkeypatch.setitem(boilerplate.WEIGHTS, "open", 0.0)  # a lone label without link weight is as dense as prose
+    assert 6 in [n for n, main in boilerplate.content_lines(text, "", kinds) if main]
+
+
+def test_hosts_keep_their_types_apart(spark):
+    (a, ma), (b, mb) = site(30), site(30, "b.example")
+    b = [(f"b{f}", x.replace("Home", "Start").replace("See also", "More")) for f, x in b]
+    t, m = pages(spark, a + b, ma + [(f"b{f}", u, x) for f, u, x in mb])
+    kinds = boilerplate.learn(boilerplate._pages(t, m))
+    assert {r["host"] for r in kinds.where("type = 'start'").collect()} == {"b.example"} and {r["host"] for r in kinds.where("type = 'home'").collect()} == {"www.a.example"}
+    got = {(f, n) for f, n in rows(boilerplate.furniture_lines(t, m))}
+    assert {(f, 1) for f, _ in a + b} <= got
+
+
 def test_no_pages(spark):
     t, m = pages(spark, [], [])
     assert rows(boilerplate.furniture_lines(t, m)) == []
