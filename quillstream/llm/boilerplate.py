@@ -37,13 +37,14 @@ _ENDS = ".!?।:"
 LONG = 300
 
 
-def _plain(line):
-    """Column: a line as a type, without case, digits, bullets, and the marks that menus hang on."""
-    x = F.trim(F.regexp_replace(F.lower(line), r"[\s\p{Z}]+", " "))
-    x = F.when(x.rlike(r"\p{Nd}"), F.regexp_replace(x, r"\p{Nd}+", "#")).otherwise(x)
-    x = F.regexp_replace(x, r"^[-*•·▪–] | ?(?:\+|>|\(#\))$", "")
-    x = F.when(F.contains(x, F.lit("#")), F.regexp_replace(x, r"#(?:[/-]#){2}|# \p{L}{3,12} #", "#")).otherwise(x)
-    return F.when(F.length(x) <= LONG, x).otherwise(F.concat(F.sha2(x, 256), F.substring(x, -1, 1)))
+def _plains(lines):
+    """Column: lines as types, without case, digits, bullets, and the marks that menus hang on. Two transforms, as what a lambda says twice is worked out twice."""
+
+    def form(line):
+        x = F.regexp_replace(F.trim(F.regexp_replace(F.lower(line), r"[\s\p{Z}]+", " ")), r"\p{Nd}+", "#")
+        return F.regexp_replace(F.regexp_replace(x, r"^[-*•·▪–] | ?(?:\+|>|\(#\))$", ""), r"#(?:[/-]#){2}|# \p{L}{3,12} #", "#")
+
+    return F.transform(F.transform(lines, form), lambda x: F.when(F.length(x) <= LONG, x).otherwise(F.concat(F.sha2(x, 256), F.substring(x, -1, 1))))
 
 
 def plain(line: str) -> str:
@@ -78,13 +79,13 @@ def line_types(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
     hosts on which each stands; label tells that pages have it as title or part of one."""
     lines = F.split("text", "\n")
     parts = F.flatten(F.transform(lines, lambda x: F.when(x.rlike(_SPLIT), F.concat(F.array(x), F.split(F.trim(x), _SPLIT))).otherwise(F.array(x))))
-    each = pages.select("host", F.explode(F.array_distinct(F.filter(F.transform(parts, _plain), lambda x: x.rlike(r"\p{L}")))).alias("type"))
+    each = pages.select("host", F.explode(F.array_distinct(F.filter(_plains(parts), lambda x: x.rlike(r"\p{L}")))).alias("type"))
     by_host = cut(each.groupBy("type", "host").agg(F.count("*").alias("n")))
     sizes = pages.groupBy(F.col("host").alias("h")).agg(F.count("*").alias("size"))
     whole = pages.count()
     share = by_host.join(sizes, F.col("host") == F.col("h")).groupBy("type").agg(F.sum("n").alias("pages"), F.max(F.when((F.col("n") >= LEAST) & (F.col("host") != ""), F.col("n") / F.col("size"))).alias("share"))
     often = share.where((F.col("pages") >= LEAST) & ((F.col("pages") >= SHARE * whole) | (F.col("share") >= HOST_SHARE)))
-    heads = pages.where("title <> ''").select(F.explode(F.array_distinct(F.transform(F.concat(F.array("title"), F.split("title", " - ")), _plain))).alias("t")).groupBy("t").count().where(F.col("count") >= 2)
+    heads = pages.where("title <> ''").select(F.explode(F.array_distinct(_plains(F.concat(F.array("title"), F.split("title", " - "))))).alias("t")).groupBy("t").count().where(F.col("count") >= 2)
     types = cut(often.join(heads, F.col("type") == F.col("t"), "left").select("type", "pages", F.col("t").isNotNull().alias("label")))
     return types, by_host.join(types.select("type"), "type", "left_semi").select("host", "type")
 
