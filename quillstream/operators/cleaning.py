@@ -134,8 +134,12 @@ def characters(df: DataFrame, key: str, text: str) -> DataFrame:
 def _multiset(text: Column) -> Column:
     """A text's characters, white space aside, as their number and two sums of hashes: the same for the same characters in any order."""
     plain = F.split(F.regexp_replace(text, r"\s", ""), "")
-    zero = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).cast("decimal(38,0)").alias("a"), F.lit(0).cast("decimal(38,0)").alias("b"))
-    return F.aggregate(plain, zero, lambda t, c: F.struct((t["n"] + F.length(c)).alias("n"), (t["a"] + F.xxhash64(c)).cast("decimal(38,0)").alias("a"), (t["b"] + F.xxhash64(c, F.lit(1))).cast("decimal(38,0)").alias("b")))
+    zero = F.struct(*[F.lit(0).cast("long").alias(c) for c in ("n", "a", "b")])
+
+    def add(total: Column, hashed: Column) -> Column:
+        return F.pmod(total + hashed.bitwiseAND(F.lit((1 << 60) - 1)), F.lit((1 << 61) - 1))  # stays inside a long, however long the text
+
+    return F.aggregate(plain, zero, lambda t, c: F.struct((t["n"] + F.length(c)).alias("n"), add(t["a"], F.xxhash64(c)).alias("a"), add(t["b"], F.xxhash64(c, F.lit(1))).alias("b")))
 
 
 def integrity(raw: DataFrame, clean: DataFrame, removed: DataFrame, file: str = "file") -> DataFrame:
