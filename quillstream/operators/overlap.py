@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from quillstream.functions.text import bound, shingle_hashes, squash
 from quillstream.session import cut
 
+#: Share of a text's shingles that the prefix is longer than it must be: longer prefixes meet more texts, of which fewer are compared as a whole.
+SPARE = 0.08
+
 
 def _hashed(df: DataFrame, key: str, text: str) -> DataFrame:
     """(k, h, plain): each row that isn't blank with the hash of its squashed text."""
@@ -21,20 +24,35 @@ def _marked(df: DataFrame, key: str, text: str, size: int) -> DataFrame:
     return cut(rows.groupBy("h").agg(F.min("k").alias("class_id"), F.any_value("marks").alias("marks")).where(F.size("marks") > 0).select("class_id", "marks"))
 
 
+def _ranked(rows: DataFrame) -> DataFrame:
+    """(class_id, n, items, weights): a text's shared shingles, those of the rarest first, written once. Shingles that the very same texts
+    have are one item, whose weight is their number; n counts the unshared ones too."""
+    each = rows.select("class_id", F.explode("marks").alias("mark")).repartition("mark")  # shuffled once, counted and joined where it lies
+    lists = each.groupBy("mark").agg(F.count("*").alias("df"), F.bit_xor(F.xxhash64("class_id")).alias("who")).select("mark", "df", F.xxhash64("df", "who").alias("item"))
+    shared = each.join(lists.hint("merge"), "mark").select("class_id", "df", "item").repartition("class_id")
+    items = shared.groupBy("class_id", "df", "item").agg(F.count("*").cast("int").alias("w"))
+    by = F.sort_array(F.collect_list(F.when(F.col("df") > 1, F.struct("df", "item", "w"))))
+    ranked = items.groupBy("class_id").agg(F.sum("w").cast("int").alias("n"), by.alias("by")).where(F.size("by") > 0)
+    return cut(ranked.select("class_id", "n", F.col("by.item").alias("items"), F.col("by.w").alias("weights")))
+
+
 def _contained(rows: DataFrame, threshold: float) -> DataFrame:
-    each = rows.select("class_id", F.size("marks").alias("n"), F.explode("marks").alias("mark"))
-    frequency = each.groupBy("mark").agg(F.count("*").alias("df")).where("df > 1")
-    shared = cut(each.join(frequency, "mark"))  # the shingles of several texts, looked at from both sides below
-    # in the row: a text's shared shingles, rarest first, of which the prefix is cut; those that no other text has come before them and find nothing
-    ranked = shared.groupBy(F.col("class_id").alias("small"), F.col("n").alias("n_small")).agg(F.sort_array(F.collect_list(F.struct("df", "mark"))).alias("by"))
-    longest = F.col("n_small") - F.ceil(F.lit(threshold) * F.col("n_small") - 1e-9) + 1
-    room = bound(longest - (F.col("n_small") - F.size("by")), lambda x: F.greatest(x, F.lit(0)))
-    prefix = ranked.select("small", "n_small", F.explode(F.slice(F.col("by"), 1, room.cast("int"))).alias("x")).select("small", "n_small", F.col("x.mark").alias("mark"))
-    listed = shared.select(F.col("class_id").alias("large"), F.col("n").alias("n_large"), "mark")
+    ranked = _ranked(rows)
+    lost = (F.col("n") - F.ceil(F.lit(threshold) * F.col("n") - 1e-9)).cast("int")  # so many may be missing in the larger text
+    alone = F.col("n") - F.aggregate("weights", F.lit(0), lambda x, w: x + w)
+    smaller = ranked.select(F.col("class_id").alias("small"), F.col("n").alias("n_small"), "items", "weights", lost.alias("lost"), alone.alias("alone")).where("alone <= lost")
+    enough = F.col("lost") + F.floor(SPARE * F.col("n_small")).cast("int")
+    taken = F.aggregate("weights", F.struct(F.col("alone").alias("sum"), F.lit(0).alias("k")), lambda x, w: F.when(x["sum"] <= enough, F.struct((x["sum"] + w).alias("sum"), (x["k"] + 1).alias("k"))).otherwise(x))
+    smaller = smaller.withColumn("taken", bound(taken, lambda x: x))
+    each = F.arrays_zip(F.slice("items", 1, F.col("taken.k")).alias("item"), F.slice("weights", 1, F.col("taken.k")).alias("w"))
+    prefix = smaller.select("small", "n_small", (F.col("taken.sum") - F.col("lost")).alias("least"), F.explode(each).alias("x")).select("small", "n_small", "least", "x.item", "x.w")
+    listed = ranked.select(F.col("class_id").alias("large"), F.col("n").alias("n_large"), F.explode("items").alias("item"))
     ordered = (F.col("n_small") < F.col("n_large")) | ((F.col("n_small") == F.col("n_large")) & (F.col("small") < F.col("large")))
-    candidates = prefix.join(listed, "mark").where((F.col("small") != F.col("large")) & ordered).select("small", "large").distinct()
+    # merged, not broadcast: Spark takes arrays for a few bytes, and lists that are unfolded from them too
+    met = prefix.join(listed.hint("merge"), "item").where((F.col("small") != F.col("large")) & ordered).select("small", "large", "w", "least").repartition("small")
+    candidates = met.groupBy("small", "large").agg(F.sum("w").alias("met"), F.max("least").alias("least")).where("met >= least").select("small", "large")
     a, b = rows.select(F.col("class_id").alias("small"), F.col("marks").alias("m_a")), rows.select(F.col("class_id").alias("large"), F.col("marks").alias("m_b"))
-    both = candidates.join(a, "small").join(b, "large")
+    both = candidates.join(a.hint("merge"), "small").join(b.hint("merge"), "large")
     common = both.select("small", "large", F.size(F.array_intersect("m_a", "m_b")).alias("common"), F.least(F.size("m_a"), F.size("m_b")).alias("n"))
     return common.where(F.col("common") >= F.lit(threshold) * F.col("n") - 1e-9).select("small", "large", "common", F.round(F.col("common") / F.col("n"), 6).alias("similarity"))
 
@@ -42,10 +60,11 @@ def _contained(rows: DataFrame, threshold: float) -> DataFrame:
 def containment_pairs(df: DataFrame, key: str, text: str, threshold: float = 0.8, size: int = 5) -> DataFrame:
     """(small, large, common, similarity): class representatives of which the smaller shares at least `threshold` of its shingles with the larger.
 
-    A class holds the rows of one squashed text and is named by its smallest key. Prefix filter: a smaller text that reaches
-    the threshold must have one of its rarest (1 - threshold) * n + 1 shingles in the larger, so only these meet the full
-    inverted list; frequent shingles enter a prefix only where a text has no rarer ones. The candidates' whole shingle
-    arrays then give the exact number in common. Nothing is capped, so no pair is lost. Null and blank texts have no class.
+    A class holds the rows of one squashed text and is named by its smallest key. Prefix filter: of a smaller text that reaches
+    the threshold (1 - threshold) * n shingles may be missing in the larger. So of its rarest (1 - threshold + SPARE) * n ones,
+    which alone meet the full inverted lists, all but those must be there; frequent shingles enter a prefix only where a text has no
+    rarer ones. The whole shingle arrays of the pairs that pass then give the exact number in common. Nothing is capped, so no pair is
+    lost. Null and blank texts have no class.
     """
     return _contained(_marked(df, key, text, size), threshold)
 

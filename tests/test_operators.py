@@ -172,6 +172,14 @@ def test_containment_against_all_pairs(spark):
     assert all(classes[a] == classes[b] for a, b in want)
 
 
+def test_containment_broadcasts_no_shingles(spark):
+    """Spark takes an array for one value, so by its estimates the shingles of all texts would go through the driver."""
+    df = spark.range(40).selectExpr("id AS i", "concat_ws(' ', transform(sequence(1, 300), k -> hash(k, id div 2))) AS t")
+    pairs = overlap.containment_pairs(df.withColumn("t", F.concat("t", F.lit(" "), F.col("i").cast("string"))), "i", "t")
+    assert "Broadcast" not in pairs._jdf.queryExecution().executedPlan().toString()
+    assert pairs.count() == 20
+
+
 def test_index_finds_nine_in_ten(spark):
     e = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
     q = e.where("vec_id % 50 = 0")
