@@ -75,7 +75,8 @@ def linked_components(links: DataFrame) -> DataFrame:
     Labels spread by taking the least of the neighbours' and then the label's own label, each round in a written table, until no
     label changes; so rounds grow with the logarithm of the longest chain.
     """
-    both = cut(links.select("small", "large").unionByName(links.select(F.col("large").alias("small"), F.col("small").alias("large"))).distinct())
+    ways = F.explode(F.array(F.struct("small", "large"), F.struct(F.col("large").alias("small"), F.col("small").alias("large"))))  # not a union, which works the links out twice
+    both = cut(links.select(ways.alias("x")).select("x.small", "x.large").distinct())
     label = both.groupBy(F.col("small").alias("node")).agg(F.least(F.min("large"), F.col("node")).alias("label"))
     while True:
         near = both.join(label, F.col("large") == F.col("node")).groupBy("small").agg(F.min("label").alias("near"))

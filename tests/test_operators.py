@@ -180,6 +180,20 @@ def test_containment_broadcasts_no_shingles(spark):
     assert pairs.count() == 20
 
 
+def test_components_read_their_links_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    links = spark.range(30).selectExpr("id AS small", "id + 1 AS large").where("small % 10 < 9").mapInArrow(counted, "small long, large long")
+    label = {r["node"]: r["label"] for r in overlap.linked_components(links).collect()}
+    assert label == {i: i // 10 * 10 for i in range(30)}
+    assert seen.value == 27
+
+
 def test_index_finds_nine_in_ten(spark):
     e = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
     q = e.where("vec_id % 50 = 0")
