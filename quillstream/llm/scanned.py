@@ -8,6 +8,7 @@ from collections.abc import Iterator
 from difflib import SequenceMatcher
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -156,6 +157,8 @@ def _bare_word(token: str) -> str:
     return token.strip(_EDGE_MARKS).lower()
 
 
+#: Bytes of text that are worked on at a time, and letters of candidates handed over at a time: the words of a whole batch take many times the room of its text.
+PART = 1 << 20
 #: Between a file's name and the hash of its text, which together tell texts of one file apart.
 _GLUE, _NO_FILE = "\x00", "\x01"
 
@@ -172,10 +175,21 @@ def _named(df: DataFrame, file: str) -> DataFrame:
     return df.withColumn("file", F.when(name != _NO_FILE, name)).withColumnRenamed("file", file)
 
 
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches cut up into parts of about PART bytes of text, or one text that is longer."""
+    for batch in batches:
+        ends = pc.cumulative_sum(pc.fill_null(pc.binary_length(batch.column("text")), 0).cast(pa.int64())).to_pylist()
+        at = 0
+        while at < batch.num_rows:
+            end = max(at + 1, bisect_right(ends, (ends[at - 1] if at else 0) + PART))
+            yield batch.slice(at, end - at)
+            at = end
+
+
 def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (file, line_no, kind, edge, first, second, follows, words): the kind of a line, its key if it is a running line or outermost,
     the two parts where it ends in a broken word and the line of the second one, and its whole words."""
-    for batch in batches:
+    for batch in _parts(batches):
         rows = []
         for k, (text, name) in enumerate(zip(batch.column("text").to_pylist(), batch.column("file").to_pylist(), strict=True)):
             body = []
@@ -227,22 +241,35 @@ def _shape(word):
 
 def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(word, n, fix, kind) for words that may be misread: kind `broken` needs no proof, `fix` a frequent word, `any` a frequent word that differs in one letter, `shape` a frequent form of numbers."""
+    rows, letters = [], 0
     for batch in batches:
-        rows = []
         for word, n in zip(batch.column("word").to_pylist(), batch.column("n").to_pylist(), strict=True):
-            low = word.lower()
-            if _BROKEN.search(word):
-                rows.append((word, n, low, "broken"))
-            if any(c.isdigit() for c in word) or set(word) <= set("OlSBZ,./-"):
-                fixed = word.translate(DIGITS)
-                if fixed != word and any(c.isdigit() for c in fixed):
-                    rows.append((word, n, re.sub("[0-9]", "9", fixed), "shape"))
-            if not _NUMBER.match(low) and (len(low) >= 3 or any(not c.isalpha() for c in low)):
-                rows += [(word, n, f, "fix") for f in _fixes(low)]
-            if len(low) >= 5 and low.isalpha():
-                rows += [(word, n, low[:i] + "?" + low[i + 1 :], "any") for i in range(len(low))]
-        cols = list(zip(*rows, strict=True)) or [()] * 4
-        yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.string()), pa.array(cols[3], pa.string())], names=["word", "n", "fix", "kind"])
+            for fix, kind in _readings(word):
+                rows.append((word, n, fix, kind))
+                letters += len(word) + len(fix)
+                if letters > PART:
+                    yield _candidate_rows(rows)
+                    rows, letters = [], 0
+    yield _candidate_rows(rows)
+
+
+def _readings(word: str) -> Iterator[tuple[str, str]]:
+    low = word.lower()
+    if _BROKEN.search(word):
+        yield low, "broken"
+    if any(c.isdigit() for c in word) or set(word) <= set("OlSBZ,./-"):
+        fixed = word.translate(DIGITS)
+        if fixed != word and any(c.isdigit() for c in fixed):
+            yield re.sub("[0-9]", "9", fixed), "shape"
+    if not _NUMBER.match(low) and (len(low) >= 3 or any(not c.isalpha() for c in low)):
+        yield from ((f, "fix") for f in _fixes(low))
+    if len(low) >= 5 and low.isalpha():
+        yield from ((low[:i] + "?" + low[i + 1 :], "any") for i in range(len(low)))
+
+
+def _candidate_rows(rows: list[tuple[str, int, str, str]]) -> pa.RecordBatch:
+    cols = list(zip(*rows, strict=True)) or [()] * 4
+    return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.string()), pa.array(cols[3], pa.string())], names=["word", "n", "fix", "kind"])
 
 
 def misread_words(words: DataFrame, often: int = 15, far: int = 300) -> DataFrame:
@@ -335,7 +362,7 @@ def _common(vocabulary: DataFrame, bad: DataFrame) -> DataFrame:
 
 
 def _rebuilder(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in _parts(batches):
         out = []
         for row in batch.to_pylist():
             text, gone, broken, fixes = row["text"], set(row["gone"] or ()), set(row["broken"] or ()), dict((f["word"], f["fix"]) for f in row["fixes"] or ())

@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -243,6 +244,20 @@ def scans(n=30):
     return out
 
 
+def test_scanned_texts_are_worked_on_in_small_parts():
+    """A batch of 10,000 texts as words, or of 10,000 words as candidates, would fill a worker's memory."""
+    texts = [None, "", *("Some words of a page\n" * 20_000 for _ in range(6)), "last"]
+    batch = pa.RecordBatch.from_pydict({"file": pa.array([f"f{k}" for k in range(len(texts))]), "text": pa.array(texts, pa.string())})
+    assert [x for part in scanned._parts(iter([batch])) for x in part.column("text").to_pylist()] == texts
+    assert max(part.num_rows for part in scanned._parts(iter([batch.slice(2, 6)]))) == 2
+    lines = list(scanned._lines(iter([batch.slice(2)])))
+    assert sum(x.num_rows for x in lines) == 6 * 20_000 + 1 and max(x.num_rows for x in lines) <= 40_001
+    words = pa.RecordBatch.from_pydict({"word": pa.array(["abcdefghij" * 20 + f"k{'x' * k}" for k in range(100)]), "n": pa.array([1] * 100, pa.int64())})
+    found = list(scanned._candidates(iter([words])))
+    assert len(found) > 3 and max(x.nbytes for x in found) < 4 * scanned.PART
+    assert sum(x.column("kind").to_pylist().count("any") for x in found) == sum(201 + k for k in range(100))
+
+
 def test_scan_noise(spark):
     data = scans()
     df = spark.createDataFrame([(*r, "k") for r in [*data, data[0], (None, "--- PAGE 1 ---\nx"), ("none.txt", None), ("empty.txt", "")]], "file string, text string, kind string")
