@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -46,7 +47,9 @@ FILLER_WORDS = frozenset(
     "lorem ipsum dolor sit amet consectetur adipiscing elit sed do eiusmod tempor incididunt ut labore et dolore magna aliqua enim ad minim veniam quis nostrud exercitation ullamco laboris nisi aliquip ex ea commodo consequat duis aute irure in reprehenderit voluptate velit esse cillum eu fugiat nulla pariatur excepteur sint occaecat cupidatat non proident sunt culpa qui officia deserunt mollit anim id est laborum".split()
 )
 _MARK = re.compile("|".join(f"(?:{p})" for p in STYLES.values()))
-_HINT = r"[{}<>«»\[\]@#%$]|__|\*\||\(\s*\)|\"\s{0,3}\"|\b(?:null|NULL|undefined|NaN|N/A|n/a|[Xx]{3,8})\b"
+# Some sign of a marker, cheap tests one by one; they let through no fewer texts than STYLES find markers in.
+_HINTS, _HINT_PARTS = r"[{}<>«»\[\]@#%$]", ("__", "*|", "null", "NULL", "undefined", "NaN", "N/A", "n/a", "xxx", "xxX", "xXx", "xXX", "Xxx", "XxX", "XXx", "XXX")
+_BLANKS = (("(", r"\(\s*\)"), ('"', r"\"\s{0,3}\""))
 _VARIABLE = re.compile(r"\w[_.-]\w|[a-z][A-Z]")
 _WORD = re.compile(r"[^\W\d_]+")
 _TOKEN = re.compile(r"[^\W\d_]+|\d+(?:[.,/:-]\d+)*")
@@ -190,8 +193,8 @@ def _values(filters) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordB
         for batch in batches:
             texts = [t.lower() for t in batch.column("text").to_pylist()]
             split = [_TOKEN.findall(t) for t in texts]
-            flat = np.fromiter((numbers[w] for ws in split for w in (_START, *ws, _END)), np.uint64)
             sizes = np.array([len(ws) + 2 for ws in split], np.int64)
+            flat = np.fromiter(map(numbers.__getitem__, chain.from_iterable((_START, *ws, _END) for ws in split)), np.uint64, int(sizes.sum()))
             ends = np.cumsum(sizes)
             text_of = np.repeat(np.arange(len(split)), sizes)
             found = set()
@@ -219,6 +222,16 @@ def _values(filters) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordB
     return scan
 
 
+def _hinted(text):
+    """Whether a text can hold a marker."""
+    hinted = text.rlike(_HINTS)
+    for part in _HINT_PARTS:
+        hinted |= text.contains(part)
+    for first, blank in _BLANKS:
+        hinted |= text.contains(first) & text.rlike(blank)
+    return hinted
+
+
 def open_slots(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, style, name, before, after): slots that kept a variable in place of a value.
 
@@ -235,7 +248,7 @@ def open_slots(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     filters of a fixed size, sent to the tasks, say which words of a text can be one.
     """
     kind = df.schema[key].dataType.simpleString()
-    rows = df.select(F.col(f"`{key}`").alias("id"), F.xxhash64(f"`{text}`").alias("copy"), F.col(f"`{text}`").alias("text")).where(F.col("text").rlike(_HINT))
+    rows = df.select(F.col(f"`{key}`").alias("id"), F.xxhash64(f"`{text}`").alias("copy"), F.col(f"`{text}`").alias("text")).where(_hinted(F.col("text")))
     marks = rows.mapInArrow(_markers, f"id {kind}, copy long, style string, name string, before string, after string, variable boolean, left long, right long, place long, firm boolean, value long, sentence long, wording long, beside long").distinct()
     marks = cut(marks)  # the marked places only
     names = marks.groupBy("name").agg((F.max(F.col("variable").cast("int")) + F.when(F.min("style") != F.max("style"), 1).otherwise(0)).alias("signs")).where("signs > 0")
@@ -266,9 +279,17 @@ def open_slots(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     return sure.select(*columns).unionByName(named.select(*columns))
 
 
+#: White space but the blank and the line feed.
+_WIDE = r"\t\x0B\f\r\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
+_NARROW = ("  ", "\t", "\x0b", "\f", "\r")
+
+
 def _skeletons(text):
     """A text's lines in lower case, with one blank for any white space and one # for a number, an amount or a date with or without a month's name."""
-    plain = F.regexp_replace(F.regexp_replace(F.lower(text), r"[\s\p{Z}&&[^\n]]+", " "), r"\p{N}+", "#")
+    wide = (F.length(text) < F.octet_length(text)) & text.rlike(f"[{_WIDE}]")  # texts of ASCII letters, which most are, are searched for single strings
+    for space in _NARROW:
+        wide |= text.contains(space)
+    plain = F.regexp_replace(F.lower(F.when(wide, F.regexp_replace(text, rf"[ {_WIDE}]+", " ")).otherwise(text)), r"\p{N}+", "#")
     return F.split(F.trim(F.regexp_replace(plain, r"#(?:[ /.,-]{1,2}(?:\p{L}+ )?#)+", "#")), r" ?\n[ \n]*")
 
 
@@ -276,8 +297,11 @@ def _filler(skeleton):
     """Lines of nothing but Latin filler, or of one or two words over and over."""
 
     def judge(words):
-        latin = F.size(F.filter(words, lambda w: w.isin(*sorted(FILLER_WORDS))))
-        return ((F.size(words) >= 4) & (latin >= 0.8 * F.size(words))) | ((F.size(words) >= 6) & (F.size(F.array_distinct(words)) <= 2))
+        known = lambda w: w.isin(*sorted(FILLER_WORDS))
+        n = F.size(words)
+        # of so many words one must be known, and of the first three two the same; few lines need a look at all words
+        latin = (n >= 4) & F.exists(F.slice(words, 1, F.floor(n / 5).cast("int") + 1), known) & (F.size(F.filter(words, known)) >= 0.8 * n)
+        return latin | ((n >= 6) & (F.size(F.array_distinct(F.slice(words, 1, 3))) <= 2) & (F.size(F.array_distinct(words)) <= 2))
 
     return F.transform(F.array(F.split(F.trim(F.regexp_replace(skeleton, r"[^\p{L}\p{M}]+", " ")), " ")), judge)[0]
 
@@ -288,9 +312,9 @@ _MENU = r"(?m)^(?:[^|\n]{1,25}\|){3,}[^|\n]{1,25}$"
 
 def _lines(df: DataFrame, key: str, text: str, source: str) -> DataFrame:
     """(id, source, chars, name, heading-like, menu, filler): each distinct line of each document, with digits masked."""
-    body = df.where(F.col(f"`{text}`").isNotNull()).select(F.col(f"`{key}`").alias("id"), (F.xxhash64(f"`{source}`") if source in df.columns else F.lit(0)).alias("source"), F.xxhash64(f"`{text}`").alias("copy"), F.length(F.regexp_replace(f"`{text}`", _MENU, "")).alias("chars"), F.array_distinct(_skeletons(F.col(f"`{text}`"))).alias("all"))
+    body = df.where(F.col(f"`{text}`").isNotNull()).select(F.col(f"`{key}`").alias("id"), (F.xxhash64(f"`{source}`") if source in df.columns else F.lit(0)).alias("source"), F.xxhash64(f"`{text}`").alias("copy"), F.length(F.when(F.contains(f"`{text}`", F.lit("|")), F.regexp_replace(f"`{text}`", _MENU, "")).otherwise(F.col(f"`{text}`"))).alias("chars"), F.array_distinct(_skeletons(F.col(f"`{text}`"))).alias("all"))
     body = body.select("id", "source", "copy", "chars", F.explode_outer("all").alias("s")).where("s <> ''")
-    items = F.size(F.split("s", r" ?\| ?"))
+    items = F.when(F.contains("s", F.lit("|")), F.size(F.split("s", r" ?\| ?"))).otherwise(1)
     head = (F.length("s") <= 60) & ~F.col("s").rlike(r"[.!?।:;]$")
     return body.select("id", "source", "copy", "chars", F.xxhash64("s").alias("name"), head.alias("head"), ((items >= 4) & (F.length("s") <= 25 * items)).alias("menu"), _filler(F.col("s")).alias("filler"))
 

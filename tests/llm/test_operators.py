@@ -7,6 +7,7 @@ import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from quillstream.llm import boilerplate, languages, leakage, mixing, repeated_lines, residue, scanned, splitting
 
@@ -522,6 +523,20 @@ def test_copies_of_a_real_document_are_no_template(spark):
     assert {r["doc_id"] for r in residue.empty_pages(df).collect()} == set(range(100, 106))
 
 
+def test_line_forms_without_work_on_plain_texts(spark):
+    """Lone blanks are no white space to squeeze: most texts go through no replacement of it, and forms, filler and hints stay what they were."""
+    wide = ["a  b", "a\tb", "a\x0bb", "a\x0cb", "a\r b", "a\u00a0b", "a\u2003 b", "a\u2028b", "a\u3000b", "A b"]
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(wide)], "i int, t string")
+    assert {tuple(r[0]) for r in df.select(residue._skeletons(F.col("t"))).collect()} == {("a b",)}
+    assert "WHEN" in df.select(residue._skeletons(F.col("t")))._jdf.queryExecution().optimizedPlan().toString()
+    lines = {"lorem ipsum dolor sit": True, "lorem ipsum dolor word": False, "word lorem ipsum dolor sit": True, "one two lorem ipsum dolor sit": False, "ab ab ab ab ab ab": True, "ab cd ab cd cd ab": True, "ab cd ef ab cd ef": False, "ab ab cd ef ab cd": False, "": False}
+    got = {r["s"]: r["f"] for r in spark.createDataFrame([(x,) for x in lines], "s string").select("s", residue._filler(F.col("s")).alias("f")).collect()}
+    assert got == lines
+    texts = ["Dear {name}", "to NaN", "( )", '" "', "XxX", "a *|b|* c", "plain words (so) \"said\"", "__x__"]
+    hinted = spark.createDataFrame([(x,) for x in texts], "t string").where(residue._hinted(F.col("t"))).collect()
+    assert {r["t"] for r in hinted} == {*texts} - {texts[6]}
+
+
 def test_pages_of_nothing_but_residue(spark):
     pick = random.Random(2)
     prose = [" ".join(pick.choices(WORDS, k=25)).capitalize() + "." for _ in range(60)]
