@@ -5,10 +5,11 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Callable, Iterator
-from itertools import chain
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -47,9 +48,10 @@ FILLER_WORDS = frozenset(
     "lorem ipsum dolor sit amet consectetur adipiscing elit sed do eiusmod tempor incididunt ut labore et dolore magna aliqua enim ad minim veniam quis nostrud exercitation ullamco laboris nisi aliquip ex ea commodo consequat duis aute irure in reprehenderit voluptate velit esse cillum eu fugiat nulla pariatur excepteur sint occaecat cupidatat non proident sunt culpa qui officia deserunt mollit anim id est laborum".split()
 )
 _MARK = re.compile("|".join(f"(?:{p})" for p in STYLES.values()))
-# Some sign of a marker, cheap tests one by one; they let through no fewer texts than STYLES find markers in.
-_HINTS, _HINT_PARTS = r"[{}<>«»\[\]@#%$]", ("__", "*|", "null", "NULL", "undefined", "NaN", "N/A", "n/a", "xxx", "xxX", "xXx", "xXX", "Xxx", "XxX", "XXx", "XXX")
-_BLANKS = (("(", r"\(\s*\)"), ('"', r"\"\s{0,3}\""))
+# Some sign of a marker, found by a rare first letter, or as a word; they let through no fewer texts than STYLES find markers in.
+_GAP = r"[\s\x1C-\x1F\x85\p{Z}]"
+_HINTS = r"(?=[{}<>«»\[\]@#%$_*XxN(\"])(?:[{}<>«»\[\]@#%$]|__|\*\||[Xx]{3}|NULL|NaN|N/A|\(" + _GAP + r"*\)|\"" + _GAP + r"{0,3}\")"
+_HINT_WORDS = ("null", "n/a", "undefined")
 _VARIABLE = re.compile(r"\w[_.-]\w|[a-z][A-Z]")
 _WORD = re.compile(r"[^\W\d_]+")
 _TOKEN = re.compile(r"[^\W\d_]+|\d+(?:[.,/:-]\d+)*")
@@ -57,7 +59,12 @@ _TOKEN = re.compile(r"[^\W\d_]+|\d+(?:[.,/:-]\d+)*")
 SIDE, VALUE_WORDS, VALUE_CHARS = 3, 8, 80
 #: Bits of each filter through which texts are read for values; fuller filters let more places through to the join, nothing else.
 FILTER_BITS = 1 << 24
+#: Characters that are cut into words at a time.
+PART = 1 << 19
 _START, _END = "\x02", "\x03"
+# Kinds of characters, the number of all figures and the base of words' hashes.
+_OTHER, _LETTERS, _RAISED, _DIGITS, _INSIDE, _FIRST, _LAST = range(7)
+_FIGURE, _BASE = np.uint64(0x2545F4914F6CDD1D), 0xD1342543DE82EF95
 # Styles that editors, markup and forms use as well, and tags that stand without a closing one.
 _LOOSE = ("bracket", "angle", "default", "blank")
 # Styles that nothing but templates use, whatever the name.
@@ -68,22 +75,77 @@ _SENTENCE_END = re.compile(r"[.!?।:;](?=\s)|\n")
 _SLOT_WORDS = re.compile(r"(?:[^\W\d_]*\d[\w.,/:-]*|[A-Z]\w*)(?:\W+(?:\w*\d[\w.,/:-]*|[A-Z]\w*))*")
 
 
+def _mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    x = (a ^ (b + np.uint64(0x9E3779B97F4A7C15) + (a << np.uint64(6)) + (a >> np.uint64(2)))) * np.uint64(0xBF58476D1CE4E5B9)
+    return x ^ (x >> np.uint64(29))
+
+
+def _spread(x: np.ndarray) -> np.ndarray:
+    """The mixing step of splitmix64."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+@cache
+def _characters(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each code point below size: its kind (letters and other signs of words, those of them that are figures, digits, signs inside numbers, or none of these) and its hash."""
+    every = "".join(map(chr, range(size)))
+    kinds = np.full(size, _OTHER, np.uint8)
+    for kind, pattern in ((_LETTERS, r"[^\W\d_]+"), (_DIGITS, r"\d+"), (_INSIDE, r"[.,/:-]+")):
+        for m in re.finditer(pattern, every):
+            kinds[m.start() : m.end()] = kind
+    kinds[[k for k in np.flatnonzero(kinds == _LETTERS).tolist() if every[k].isdigit()]] = _RAISED
+    return kinds, _spread(np.arange(1, size + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+
+
+@cache
+def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of a fixed odd number and of its inverse, modulo 2 ** 64."""
+    up, down = (np.full(size, x, np.uint64) for x in (_BASE, pow(_BASE, -1, 1 << 64)))
+    up[:1] = down[:1] = 1
+    return np.cumprod(up), np.cumprod(down)
+
+
+def _words(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(number, text, start, end) of the words of all texts, as _TOKEN has them, between a _START and an _END for each text.
+
+    A word's number is a hash of its letters, the same in every task; all figures have one, as they differ between records of one template.
+    """
+    codes = np.frombuffer("".join(f"{_START}{t}{_END}" for t in texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+    kinds, hashes = _characters(0x10000 if codes.max(initial=0) < 0x10000 else 0x110000)
+    kind = kinds[codes]
+    sizes = np.array([len(t) + 2 for t in texts], np.int64)
+    ends = np.cumsum(sizes)
+    kind[ends - sizes], kind[ends - 1] = _FIRST, _LAST
+    raised = kind == _RAISED
+    kind[raised] = _LETTERS
+    inside = np.flatnonzero(kind == _INSIDE)  # an end of the text is on either side
+    kind[inside] = np.where((kind[inside - 1] == _DIGITS) & (kind[inside + 1] == _DIGITS), _DIGITS, _OTHER)
+    turns = np.concatenate(([0], np.flatnonzero(kind[1:] != kind[:-1]) + 1, [len(kind)]))
+    word = kind[turns[:-1]] != _OTHER
+    start, end = turns[:-1][word], turns[1:][word]
+    n = 1 << max(16, len(codes).bit_length())
+    up, down = _powers(n) if n <= 2 * PART else _powers.__wrapped__(n)
+    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(hashes[codes] * up[: len(codes)], dtype=np.uint64)))
+    number = _spread((sums[end] - sums[start]) * down[start])
+    number[(kind[start] == _DIGITS) | raised[start]] = _FIGURE
+    text = np.cumsum(kind[start] == _FIRST) - 1
+    before = (ends - sizes + 1)[text]
+    return number, text, start - before, end - before
+
+
 class _Numbers(dict):
-    """A word's number, the same in every task; all figures have one, as they differ between records of one template."""
+    """The number that _words gives a word, or an end of a text."""
 
-    def __missing__(self, word: str) -> int:
+    def __missing__(self, word: str) -> np.uint64:
         if len(self) > 500_000:
             self.clear()
-        masked = "#" if word[:1].isdigit() else word
-        self[word] = n = int.from_bytes(hashlib.blake2b(masked.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big") >> 1
+        ends = {_START: 0, _END: 1}
+        self[word] = n = _words([""])[0][ends[word]] if word in ends else _words([word])[0][1]
         return n
 
 
-def _mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    x = (a ^ (b + np.uint64(0x9E3779B97F4A7C15) + (a << np.uint64(6)) + (a >> np.uint64(2)))) * np.uint64(0xBF58476D1CE4E5B9)
-    return x ^ (x >> np.uint64(29))
-
-
 def _grams(numbers: np.ndarray, after: bool) -> list[np.ndarray]:
     """For each length up to SIDE: the hash of so many words that end at (before a value) or begin at (after one) each word."""
     out = [_mix(numbers, np.uint64(7 + after))]
@@ -97,8 +159,8 @@ def _grams(numbers: np.ndarray, after: bool) -> list[np.ndarray]:
     return out
 
 
-def _value_hash(value: str, numbers: _Numbers) -> int:
-    return numbers["=" + " ".join(re.findall(r"\w+", value.replace("_", " ").lower()))]  # digits count here
+def _value_hash(value: str) -> int:
+    return _hash(" ".join(re.findall(r"\w+", value.replace("_", " ").lower())))
 
 
 def _sides(text: str, start: int, end: int, last: int, following: int) -> tuple[list[str], list[str]]:
@@ -155,7 +217,7 @@ def _markers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 tag = style == "angle" and (name.lower() in _SINGLE_TAGS or f"</{name}>" in text) or style == "bracket" and text[m.end() : m.end() + 1] == "("
                 firm = real >= (4 if style in _LOOSE else 2) and not tag
                 variable = style in _STRICT or bool(_VARIABLE.search(name))
-                out.append((k, style, name, " ".join(left).lower(), " ".join(right).lower(), variable, *place, firm, _value_hash(name, numbers), *_frames(text, m.start(), m.end())))
+                out.append((k, style, name, " ".join(left).lower(), " ".join(right).lower(), variable, *place, firm, _value_hash(name), *_frames(text, m.start(), m.end())))
         cols = list(zip(*out, strict=True)) or [()] * 14
         names = ("style", "name", "before", "after")
         yield pa.RecordBatch.from_pydict(
@@ -183,39 +245,42 @@ def _in(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return (bits[(at >> np.uint64(5)).astype(np.int64)] >> (at & np.uint64(31)).astype(np.uint32)) & np.uint32(1) > 0
 
 
+def _parts(texts: list[str]) -> Iterator[list[str]]:
+    """Texts in turn, about PART characters at a time."""
+    part, size = [], 0
+    for t in texts:
+        if part and size + len(t) + 2 > PART:
+            yield part
+            part, size = [], 0
+        part.append(t)
+        size += len(t) + 2
+    if part:
+        yield part
+
+
 def _values(filters) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Rows (place, value, empty): what stands in texts between the words of a marked place, and whether that is nothing. Texts are cut into words once; those that
-    may hold a place are looked at again."""
+    """Rows (place, value, empty): what stands in texts between the words of a marked place, and whether that is nothing."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         left, right, both = filters.value
-        numbers = _Numbers()
         for batch in batches:
-            texts = [t.lower() for t in batch.column("text").to_pylist()]
-            split = [_TOKEN.findall(t) for t in texts]
-            sizes = np.array([len(ws) + 2 for ws in split], np.int64)
-            flat = np.fromiter(map(numbers.__getitem__, chain.from_iterable((_START, *ws, _END) for ws in split)), np.uint64, int(sizes.sum()))
-            ends = np.cumsum(sizes)
-            text_of = np.repeat(np.arange(len(split)), sizes)
             found = set()
-            spans: dict[int, list[tuple[int, int]]] = {}
-            afters = [(g, _in(right, g)) for g in _grams(flat, True)]
-            for before in _grams(flat, False):
-                at = np.flatnonzero(_in(left, before))
-                for gap in range(VALUE_WORDS + 1):
-                    near = at[at + gap + 1 < ends[text_of[at]]]
-                    for after, known in afters:
-                        hit = near[known[near + gap + 1]]
-                        place = _mix(before[hit], after[hit + gap + 1])
-                        fits = _in(both, place)
-                        for i, p in zip(hit[fits].tolist(), place[fits].view(np.int64).tolist(), strict=True):
-                            k = int(text_of[i])
-                            if k not in spans:
-                                spans[k] = [(0, 0), *(m.span() for m in _TOKEN.finditer(texts[k])), (len(texts[k]),) * 2]
-                            j = i - int(ends[k] - sizes[k])
-                            value = texts[k][spans[k][j][1] : spans[k][j + gap + 1][0]]
-                            if len(value) <= VALUE_CHARS and not _MARK.search(value):
-                                found.add((p, _value_hash(value, numbers), not gap))
+            for texts in _parts([t.lower() for t in batch.column("text").to_pylist()]):
+                flat, text_of, start, end = _words(texts)
+                ends = np.cumsum(np.bincount(text_of, minlength=len(texts)))
+                afters = _grams(flat, True)
+                for before in _grams(flat, False):
+                    at = np.flatnonzero(_in(left, before))
+                    for gap in range(VALUE_WORDS + 1):
+                        near = at[at + gap + 1 < ends[text_of[at]]]
+                        for after in afters:
+                            hit = near[_in(right, after[near + gap + 1])]
+                            place = _mix(before[hit], after[hit + gap + 1])
+                            fits = _in(both, place)
+                            for i, p in zip(hit[fits].tolist(), place[fits].view(np.int64).tolist(), strict=True):
+                                value = texts[text_of[i]][end[i] : start[i + gap + 1]]
+                                if len(value) <= VALUE_CHARS and not _MARK.search(value):
+                                    found.add((p, _value_hash(value), not gap))
             cols = list(zip(*found, strict=True)) or [()] * 3
             yield pa.RecordBatch.from_pydict({"place": pa.array(cols[0], pa.int64()), "value": pa.array(cols[1], pa.int64()), "empty": pa.array(cols[2], pa.bool_())})
 
@@ -225,10 +290,8 @@ def _values(filters) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordB
 def _hinted(text):
     """Whether a text can hold a marker."""
     hinted = text.rlike(_HINTS)
-    for part in _HINT_PARTS:
-        hinted |= text.contains(part)
-    for first, blank in _BLANKS:
-        hinted |= text.contains(first) & text.rlike(blank)
+    for word in _HINT_WORDS:
+        hinted |= text.contains(word)
     return hinted
 
 
@@ -282,28 +345,60 @@ def open_slots(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
 #: White space but the blank and the line feed.
 _WIDE = r"\t\x0B\f\r\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
 _NARROW = ("  ", "\t", "\x0b", "\f", "\r")
+#: Signs of lines that a blank or an empty line is next to.
+_LOOSE_LINES = ("\n\n", " \n", "\n ")
+
+
+def _figures(digit: str, letter: str) -> str:
+    """A number, an amount or a date with or without a month's name."""
+    number = f"[{digit}#](?:(?<!#)[{digit}]++)?"
+    return rf"{number}(?:[ /.,-]{{1,2}}(?:[{letter}]+ )?{number})*"
 
 
 def _skeletons(text):
     """A text's lines in lower case, with one blank for any white space and one # for a number, an amount or a date with or without a month's name."""
-    wide = (F.length(text) < F.octet_length(text)) & text.rlike(f"[{_WIDE}]")  # texts of ASCII letters, which most are, are searched for single strings
+    ascii_ = F.length(text) == F.octet_length(text)  # most texts are; they are searched for single strings and short classes
+    wide = ~ascii_ & text.rlike(f"[{_WIDE}]")
     for space in _NARROW:
         wide |= text.contains(space)
-    plain = F.regexp_replace(F.lower(F.when(wide, F.regexp_replace(text, rf"[ {_WIDE}]+", " ")).otherwise(text)), r"\p{N}+", "#")
-    return F.split(F.trim(F.regexp_replace(plain, r"#(?:[ /.,-]{1,2}(?:\p{L}+ )?#)+", "#")), r" ?\n[ \n]*")
+    loose = wide
+    for sign in _LOOSE_LINES:
+        loose |= text.contains(sign)
+    low = F.lower(F.when(wide, F.regexp_replace(text, rf"[ {_WIDE}]+", " ")).otherwise(text))
+    figures = F.when(ascii_, F.lit(_figures("0-9", "a-z"))).otherwise(F.lit(_figures(r"\p{N}", r"\p{L}")))
+    return F.split(F.trim(F.regexp_replace(low, figures, F.lit("#"))), F.when(loose, F.lit(r" ?\n[ \n]*")).otherwise(F.lit("\n")))
 
 
-def _filler(skeleton):
-    """Lines of nothing but Latin filler, or of one or two words over and over."""
+def _one_of(words) -> str:
+    """A pattern of whole words, by their first letters."""
+    heads = sorted({w[0] for w in words})
+    return "(?:" + "|".join(f"{h}(?:{'|'.join(sorted(w[1:] for w in words if w[0] == h))})" for h in heads) + ")"
+
+
+_LETTER, _NO_LETTER = r"[\p{L}\p{M}]", r"[^\p{L}\p{M}]"
+#: Two words of Latin filler in a row, and two equal ones of a line's first three; no filler is without one of them.
+_TWO_KNOWN = f"(?:^|{_NO_LETTER}){_one_of(FILLER_WORDS)}{_NO_LETTER}+{_one_of(FILLER_WORDS)}(?:{_NO_LETTER}|$)"
+_TWO_EQUAL = rf"^{_NO_LETTER}*({_LETTER}++){_NO_LETTER}+(?:\1{_NO_LETTER}|({_LETTER}++){_NO_LETTER}+(?:\1|\2){_NO_LETTER})"
 
-    def judge(words):
-        known = lambda w: w.isin(*sorted(FILLER_WORDS))
-        n = F.size(words)
-        # of so many words one must be known, and of the first three two the same; few lines need a look at all words
-        latin = (n >= 4) & F.exists(F.slice(words, 1, F.floor(n / 5).cast("int") + 1), known) & (F.size(F.filter(words, known)) >= 0.8 * n)
-        return latin | ((n >= 6) & (F.size(F.array_distinct(F.slice(words, 1, 3))) <= 2) & (F.size(F.array_distinct(words)) <= 2))
 
-    return F.transform(F.array(F.split(F.trim(F.regexp_replace(skeleton, r"[^\p{L}\p{M}]+", " ")), " ")), judge)[0]
+def _latin(lines: pa.Array) -> pa.Array:
+    """Lines of four words or more of which four fifths are Latin filler."""
+    held = pc.fill_null(pc.match_substring_regex(lines, _TWO_KNOWN), False)
+    some = lines.filter(held)
+    words = pc.split_pattern(pc.utf8_trim(pc.replace_substring_regex(some, f"{_NO_LETTER}+", " "), " "), " ")
+    n = pc.list_value_length(words).to_numpy(zero_copy_only=False)
+    known = pc.is_in(words.flatten(), value_set=pa.array(sorted(FILLER_WORDS))).to_numpy(zero_copy_only=False)
+    latin = np.bincount(np.repeat(np.arange(len(n)), n), weights=known, minlength=len(n))
+    out = np.zeros(len(lines), bool)
+    out[np.flatnonzero(held.to_numpy(zero_copy_only=False))] = (n >= 4) & (latin >= 0.8 * n)
+    return pa.array(out)
+
+
+def _filler(skeleton):
+    """Lines of nothing but Latin filler, or of one or two words over and over."""
+    words = F.split(F.trim(F.regexp_replace(skeleton, f"{_NO_LETTER}+", " ")), " ")
+    again = F.when(F.concat(skeleton, F.lit(" ")).rlike(_TWO_EQUAL), (F.size(words) >= 6) & (F.size(F.array_distinct(words)) <= 2)).otherwise(F.lit(False))
+    return F.arrow_udf(_latin, "boolean")(skeleton) | again
 
 
 #: Lines of four short parts or more; they don't count where a text's length is measured.

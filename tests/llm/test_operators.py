@@ -1,6 +1,7 @@
 """Each operator on cases written by hand: nulls, empty and long texts, ties, repeated rows, empty tables, clashing columns."""
 
 import random
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -537,6 +538,48 @@ def test_line_forms_without_work_on_plain_texts(spark):
     assert {r["t"] for r in hinted} == {*texts} - {texts[6]}
 
 
+def test_blanks_of_any_white_space_are_markers(spark):
+    texts = ["Dear (\u00a0), welcome", 'Dear "\u2003", welcome', "Dear (so), welcome"]
+    assert [bool(residue._MARK.search(t)) for t in texts] == [True, True, False]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").where(residue._hinted(F.col("t")))
+    assert {r["t"] for r in df.collect()} == {*texts[:2]}
+
+
+def test_words_without_a_loop_over_words():
+    """Words come out of arrays of characters as the pattern has them; equal words have equal numbers, all figures one."""
+    pick = random.Random(3)
+    numbers, of = residue._Numbers(), {}
+    for _ in range(400):
+        texts = ["".join(pick.choices("ab1 2.,/:-_\u00b2\u2462\u0967\u093e\u0915\n\x02\x03\u00e9\U0001d7d8\U00010400", k=pick.randrange(14))) for _ in range(pick.randrange(1, 5))]
+        found = list(zip(*(x.tolist() for x in residue._words(texts)), strict=True))
+        for k, t in enumerate(texts):
+            assert [(s, e) for _, i, s, e in found if i == k] == [(-1, 0), *(m.span() for m in residue._TOKEN.finditer(t)), (len(t), len(t) + 1)]
+        for n, k, s, e in found:
+            word = residue._START if s < 0 else residue._END if e > len(texts[k]) else texts[k][s:e]
+            assert n == numbers[word] == of.setdefault("#" if word[:1].isdigit() else word, n)
+    assert len(set(of.values())) == len(of) > 50
+    parts = list(residue._parts(["a" * 10, "b" * residue.PART, "c", "d"]))
+    assert [len(x) for x in parts] == [1, 1, 2]
+
+
+def test_latin_filler_is_judged_by_two_known_words_first():
+    pick = random.Random(4)
+    lines = ["".join(pick.choice(["lorem", "in", "do", "sit", "ut", "reprehenderit", *["word", "\u0915\u093e"] * (n % 2)]) + pick.choice([" ", ", ", "-", "1"]) for _ in range(n % 13)) for n in range(3000)]
+    words = [re.findall(r"[a-z\u0915\u093e]+", x) for x in lines]
+    want = [len(w) >= 4 and sum(x in residue.FILLER_WORDS for x in w) >= 0.8 * len(w) for w in words]
+    assert residue._latin(pa.array(lines)).to_pylist() == want and 100 < sum(want) < 2900
+    assert residue._latin(pa.array([None, ""], pa.string())).to_pylist() == [False, False]
+
+
+def test_skeletons_mask_figures_in_one_pass(spark):
+    pick = random.Random(5)
+    texts = ["".join(pick.choices(["1", "23", "#", " ", " ", "\n", "-", ".", "/", "may", "A"] + ["\u00e9", "\u0967", "\u00a0"] * (k % 2), k=pick.randrange(16))) for k in range(3000)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    plain = F.regexp_replace(F.lower(F.regexp_replace("t", r"[\s\p{Z}&&[^\n]]+", " ")), r"\p{N}+", "#")
+    twice = F.split(F.trim(F.regexp_replace(plain, r"#(?:[ /.,-]{1,2}(?:\p{L}+ )?#)+", "#")), r" ?\n[ \n]*")
+    assert df.select("t", residue._skeletons(F.col("t")).alias("one"), twice.alias("two")).where("one <> two").collect() == []
+
+
 def test_pages_of_nothing_but_residue(spark):
     pick = random.Random(2)
     prose = [" ".join(pick.choices(WORDS, k=25)).capitalize() + "." for _ in range(60)]
